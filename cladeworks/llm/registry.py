@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe_codec
+from . import bpe_codec, token_counts
 
 
 def queries() -> dict:
-    return {"op4_bpe_codec": bpe_codec.op4_bpe_codec}
+    return {
+        "op3_token_counts": token_counts.op3_token_counts,
+        "op4_bpe_codec": bpe_codec.op4_bpe_codec,
+    }
 
 
 def oracle_sql() -> dict:
