@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, token_counts
+from . import bpe_codec, decontaminate, quality_classifier, token_counts
 
 
 def queries() -> dict:
     return {
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_bpe_codec": bpe_codec.op4_bpe_codec,
+        "op6_quality_classifier": quality_classifier.op6_quality_classifier,
         "op8_decontaminate": decontaminate.op8_decontaminate,
     }
 
