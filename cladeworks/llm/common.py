@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes of one Arrow batch, so that a Python worker never holds more than a few long texts.
@@ -25,23 +21,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; a folder of this machine only where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + os.path.join(tempfile.gettempdir(), "cladeworks-checkpoints")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts lineage and survives a lost executor."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def worker_cache(key: tuple, build):
     """One object per Python worker process (tokenizer tables, compiled automata)."""
     found = _CACHE.get(key)

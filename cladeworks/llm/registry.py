@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, quality_classifier, token_counts
+from . import bpe_codec, decontaminate, near_duplicates, quality_classifier, token_counts
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op4_bpe_codec": bpe_codec.op4_bpe_codec,
         "op6_quality_classifier": quality_classifier.op6_quality_classifier,
         "op8_decontaminate": decontaminate.op8_decontaminate,
+        "op9_near_duplicates": near_duplicates.op9_near_duplicates,
     }
 
 
