@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, near_duplicates, quality_classifier, token_counts
+from . import bpe_codec, decontaminate, near_duplicates, personal_data, quality_classifier, token_counts
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_bpe_codec": bpe_codec.op4_bpe_codec,
         "op6_quality_classifier": quality_classifier.op6_quality_classifier,
+        "op7_personal_data": personal_data.op7_personal_data,
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_near_duplicates": near_duplicates.op9_near_duplicates,
     }
