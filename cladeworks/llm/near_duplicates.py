@@ -253,6 +253,22 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     return out.withColumn("class_id", F.coalesce("__class", F.col(doc_id))).drop("__key", "__salt", "__class")
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs plus class_id, only the least doc_id of every class.
+
+    Of rows that repeat a doc_id one stays, as of rows without doc_id that repeat a text; null texts all stay.
+    """
+    named = near_duplicate_classes(docs, doc_id, text)
+    out = named.filter(F.col(doc_id) == F.col("class_id"))
+    repeated = docs.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).groupBy(doc_id).count().filter("count > 1")
+    if not repeated.isEmpty():
+        out = out.filter(F.col(text).isNotNull()).dropDuplicates([doc_id]).unionByName(out.filter(F.col(text).isNull()))
+    nameless = named.filter(F.col(doc_id).isNull() & F.col("class_id").isNull())
+    if docs.filter(F.col(doc_id).isNull()).isEmpty():
+        return out
+    return out.unionByName(nameless.filter(F.col(text).isNotNull()).dropDuplicates([text])).unionByName(nameless.filter(F.col(text).isNull()))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicate_classes(docs).select("doc_id", "class_id")
