@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, near_duplicates, personal_data, quality_classifier, token_counts
+from . import bpe_codec, decontaminate, near_duplicates, personal_data, quality_classifier, token_counts, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_bpe_codec": bpe_codec.op4_bpe_codec,
         "op6_quality_classifier": quality_classifier.op6_quality_classifier,
