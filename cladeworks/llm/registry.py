@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, near_duplicates, personal_data, quality_classifier, token_counts, toxicity
+from . import bpe_codec, decontaminate, near_duplicates, personal_data, quality_classifier, quality_rules, token_counts, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_bpe_codec": bpe_codec.op4_bpe_codec,
         "op6_quality_classifier": quality_classifier.op6_quality_classifier,
