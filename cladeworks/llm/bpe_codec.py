@@ -70,6 +70,11 @@ class Codec:
                 out += [self.words.get(w) or miss(w) for w in split.findall(part)]
         return b"".join(out)
 
+    def encode_plain(self, text: str) -> bytes:
+        """The same where strings of special tokens are ordinary text."""
+        split = self.split if self.beyond.search(text) else self.latin
+        return b"".join([self.words.get(w) or self._miss(w) for w in split.findall(text)])
+
     def decode(self, packed: bytes | None) -> str:
         pieces = self.pieces
         return b"".join([pieces[i] for i in np.frombuffer(packed or b"", "<u4").tolist()]).decode("utf-8", "replace")

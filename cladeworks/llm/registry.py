@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, near_duplicates, personal_data, quality_classifier, quality_rules, token_counts, toxicity
+from . import bpe_codec, chat_format, decontaminate, near_duplicates, personal_data, quality_classifier, quality_rules, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_bpe_codec": bpe_codec.op4_bpe_codec,
+        "op5_chat_format": chat_format.op5_chat_format,
         "op6_quality_classifier": quality_classifier.op6_quality_classifier,
         "op7_personal_data": personal_data.op7_personal_data,
         "op8_decontaminate": decontaminate.op8_decontaminate,
