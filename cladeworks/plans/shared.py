@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,20 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, so that Python stages run where it isn't installed."""
+    context = spark.sparkContext
+    if getattr(context, "_cladeworks_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp()) / "cladeworks.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._cladeworks_shipped = True
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage and survives a lost executor."""
     path = f"{shared_folder(df.sparkSession)}/{name}"
