@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, chat_format, decontaminate, near_duplicates, personal_data, quality_classifier, quality_rules, token_counts, toxicity
+from . import bpe_codec, chat_format, decontaminate, near_duplicates, personal_data, quality_classifier, quality_rules, repeated_passages, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op7_personal_data": personal_data.op7_personal_data,
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_near_duplicates": near_duplicates.op9_near_duplicates,
+        "op10_repeated_passages": repeated_passages.op10_repeated_passages,
     }
 
 
