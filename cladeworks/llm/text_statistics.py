@@ -45,6 +45,8 @@ def _distinct(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 def statistics(texts: list[str | None]) -> np.ndarray:
     """One row of NAMES for each text; a null counts as empty."""
     n = len(texts)
+    if not n:
+        return np.zeros((0, len(NAMES)))
     w = Words(texts, SOLID, lower=False)
     data = np.frombuffer(w.data, np.uint8)
     spans = np.diff(w.text_begin)

@@ -60,7 +60,7 @@ class Words:
             w = a[self.begin[i] : self.end[i]]
             hashes[i] = (_BYTE[w] * np.resize(up[:4096], len(w))).sum(dtype=np.uint64) if len(w) <= 4096 else _long(w, up)
         self.hashes = mix(hashes + size.astype(np.uint64) * _P)
-        ends = np.cumsum([len(r) + 1 for r in raw])
+        ends = np.cumsum(np.array([len(r) + 1 for r in raw], np.int64))
         self.offsets = np.concatenate([[0], np.searchsorted(self.begin, ends)])
         self.text_begin = np.concatenate([[0], ends])
 
