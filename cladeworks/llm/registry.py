@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, chat_format, decontaminate, near_duplicates, personal_data, quality_classifier, quality_rules, repeated_passages, token_counts, toxicity
+from . import bpe_codec, chat_format, decontaminate, near_duplicates, oracles, personal_data, quality_classifier, quality_rules, repeated_passages, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    return oracles.ORACLES
