@@ -91,14 +91,19 @@ def quotas(representatives: DataFrame, budget: int, least: int, most: int) -> Da
 def round_robin(representatives: DataFrame, keep: DataFrame, seed: int = 42) -> DataFrame:
     """Adds turn and kept: within a country subregions take turns, larger ones first, earlier years first inside one.
 
-    keep: country, keep. Turns are ranked in ranges of the country's order, so the largest country may span tasks only
-    as far as one sort of its representatives allows.
+    keep: country, keep. A turn needs no sort of the country: all subregions with at least `pos` rows are a prefix of the
+    order by size, so the turn is what the subregions gave in earlier rounds, plus the subregion's place in that order.
+    Both come from a country's table of subregion sizes.
     """
-    bucket = Window.partitionBy("country", "subregion")
-    rows = representatives.withColumn("pos", F.row_number().over(bucket.orderBy(parse_year(F.col("date")), tie_break(F.col("sample"), seed), "sample")))
-    rows = rows.withColumn("n_bucket", F.count("*").over(bucket))
-    turn = F.row_number().over(Window.partitionBy("country").orderBy("pos", F.desc("n_bucket"), "subregion"))
-    return rows.withColumn("turn", turn).join(F.broadcast(keep.select("country", "keep")), "country").withColumn("kept", F.col("turn") <= F.col("keep"))
+    inside = Window.partitionBy("country", "subregion").orderBy(parse_year(F.col("date")), tie_break(F.col("sample"), seed), "sample")
+    rows = representatives.withColumn("pos", F.row_number().over(inside))
+    sizes = representatives.groupBy("country", "subregion").agg(F.count("*").alias("n"))
+    order = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "subregion")))
+    tables = sizes.groupBy("country").agg(order.alias("buckets")).join(F.broadcast(keep.select("country", "keep")), "country")
+    rows = rows.join(tables, "country")
+    earlier = F.aggregate("buckets", F.lit(0).cast("bigint"), lambda a, b: a + F.least(-b["less"], F.col("pos") - 1))
+    place = F.array_position(F.transform("buckets", lambda b: b["subregion"]), F.col("subregion"))
+    return rows.withColumn("turn", earlier + place).withColumn("kept", F.col("turn") <= F.col("keep")).drop("buckets")
 
 
 def country_summary(records: DataFrame) -> DataFrame:
