@@ -31,7 +31,8 @@ COMMON = {
     "es": "de la que el en y a los del se las por un para con no una su al es".split(),
 }
 #: Character classes of the histogram, as regular expressions; the rest of the text is the last class.
-CLASSES = ("a-z", "A-Z", "0-9", "\\x20\\x09-\\x0D", ".,;:'\"()?-", "!", "#*$%&|<>", "\\x{80}-\\x{10FFFF}")
+BLANK, SYMBOLS = "\\x20\\x09-\\x0D", "#*$%&|<>"
+CLASSES = ("a-z", "A-Z", "0-9", BLANK, ".,;:'\"()?-", "!", SYMBOLS, "\\x{80}-\\x{10FFFF}")
 SPACE = "[\\x20\\x09-\\x0D]+"
 MIN_WORDS, REPEATED_PERCENT = 10, 20
 MIN_CHARS, MIN_COMMON = 200, 25
@@ -43,10 +44,6 @@ ANY = "any"
 PARTS = 1_000_000
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def _let(value: Column, body) -> Column:
     """body(value), with value computed once however often body names it, even where a filter is pushed down."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -55,11 +52,12 @@ def _let(value: Column, body) -> Column:
 def _repeated_words(words: Column) -> Column:
     """Size of the union of the five-word windows that occur twice or more."""
 
-    def window(hashes):
-        return lambda h, i: F.struct(F.xxhash64(*(F.get(hashes, i + j) for j in range(5))).alias("h"), i.alias("i"))
+    def windows(hashes):
+        starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - 4, F.lit(1)))
+        return F.when(F.size(hashes) >= 5, F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, 5)))).otherwise(F.expr("cast(array() as array<bigint>)"))
 
-    def windows(hashes):  # as (hash, place), sorted: equal ones are neighbours
-        return F.sort_array(F.transform(F.slice(hashes, 1, F.greatest(F.size(hashes) - 4, F.lit(0))), window(hashes)))
+    def placed(w):  # (hash, place), sorted: equal ones are neighbours
+        return F.sort_array(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def places(w):
         same = lambda x, i, d: F.coalesce(F.get(w, i + d)["h"] == x["h"], F.lit(False))
@@ -69,32 +67,44 @@ def _repeated_words(words: Column) -> Column:
         steps = F.transform(p, lambda x, i: F.least(F.lit(5), F.coalesce(F.get(p, i + 1) - x, F.lit(5))))
         return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
+    def counted(w):  # most texts repeat no window and need no sort
+        return F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(_let(placed(w), lambda x: _let(places(x), covered)))
+
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return _let(hashes, lambda h: _let(windows(h), lambda w: _let(places(w), covered))).cast("bigint")
+    return _let(hashes, lambda h: _let(windows(h), counted)).cast("bigint")
+
+
+def _left(text: Column, chars: str) -> Column:
+    """Number of characters that are not of a class."""
+    return F.char_length(F.regexp_replace(text, f"[{chars}]+", ""))
+
+
+def char_counts(text: Column) -> Column:
+    """Characters of each of CLASSES, and the rest: what is left without a-z is short, and holds all other classes."""
+
+    def others(rest):
+        counts = F.array(*(F.char_length(rest) - _left(rest, c) for c in CLASSES[1:]))
+        return F.concat(F.array(F.char_length(text) - F.char_length(rest)), counts, F.array(F.char_length(rest) - _total(counts).cast("int")))
+
+    return _let(F.regexp_replace(text, f"[{CLASSES[0]}]+", ""), others)
 
 
-def base_counts(text: Column, words: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text and its words."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
+def base_counts(text: Column, words: Column, chars: Column) -> dict[str, Column]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text, its words and its class counts."""
+    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.regexp_replace(x, SPACE, "")) > 0)
     return {
         "n_words": F.size(words).cast("bigint"),
-        "word_chars": F.char_length(_without(text, " \t\n\x0b\x0c\r")).cast("bigint"),
-        "n_symbols": (F.char_length(text) - F.char_length(_without(text, "#*$%&|<>"))).cast("bigint"),
+        "word_chars": (_total(chars) - F.get(chars, F.lit(CLASSES.index(BLANK)))).cast("bigint"),
+        "n_symbols": F.get(chars, F.lit(CLASSES.index(SYMBOLS))).cast("bigint"),
         "n_dup_lines": _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
         "n_repeat_words": _repeated_words(words),
     }
 
 
-def _histograms(df: DataFrame, text: str) -> DataFrame:
-    """Adds the language, the character-class counts and the common-word counts."""
-    sizes = [F.char_length(F.regexp_replace(text, f"[^{c}]+", "")) for c in CLASSES[2:]]
-    # the frequent classes by what is left without them: one pass, no long match lists
-    lower, upper = (F.char_length(text) - F.char_length(_without(F.col(text), a)) for a in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    counts = [lower, upper, *sizes]
-    rest = F.char_length(text) - reduce(lambda a, b: a + b, counts)
-    every = sorted({w for v in COMMON.values() for w in v})
-    df = df.withColumn("__common", F.filter(F.transform("__words", lambda w: F.lower(w)), lambda w: w.isin(every)))
-    df = df.withColumn("__chars", F.array(*counts, rest))
+def _histograms(df: DataFrame) -> DataFrame:
+    """Adds the language and the counts of its common words; a word counts in lower, capital and upper case."""
+    every = sorted({f(w) for v in COMMON.values() for w in v for f in (str.lower, str.capitalize, str.upper)})
+    df = df.withColumn("__common", F.transform(F.filter("__words", lambda w: w.isin(every)), lambda w: F.lower(w)))
     for name, words in COMMON.items():
         df = df.withColumn(f"__n_{name}", F.size(F.filter("__common", _among(words))))
     best = F.greatest(*(F.col(f"__n_{k}") for k in COMMON))
@@ -132,9 +142,10 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs plus base counts, base_failed, language and histograms."""
     t = F.coalesce(F.col(text), F.lit(""))
     df = docs.withColumn("__text", t).withColumn("__words", F.filter(F.split("__text", SPACE), lambda w: w != ""))
-    df = df.withColumns(base_counts(F.col("__text"), F.col("__words")))
+    df = df.withColumn("__chars", char_counts(F.col("__text")))
+    df = df.withColumns(base_counts(F.col("__text"), F.col("__words"), F.col("__chars")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
-    df = _histograms(df.withColumn("base_failed", failed), "__text")
+    df = _histograms(df.withColumn("base_failed", failed))
     return df.drop("__words", "__common", "__text", *(f"__n_{k}" for k in COMMON))
 
 
