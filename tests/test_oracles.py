@@ -1,12 +1,14 @@
 """Every query of the reference's operators against its DuckDB equivalent, by schema and values."""
 
+import os
+
 import duckdb
 import pytest
 
 from cladeworks.plans.oracles import ORACLES
 from cladeworks.plans.queries import QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("CLADEWORKS_SF", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings labels".split()
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
