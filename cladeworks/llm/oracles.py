@@ -64,7 +64,7 @@ lang AS (SELECT doc_id, language FROM (SELECT doc_id, language, row_number() OVE
 b AS (SELECT base.*, lang.language, coalesce(lang.language, 'any') AS ref FROM base LEFT JOIN lang ON lang.doc_id = base.doc_id),
 ch AS (SELECT doc_id, ref, i, CASE WHEN i <= 8 THEN cs[i] ELSE len_t - list_sum(cs) END AS c FROM (SELECT doc_id, ref, cs, len_t, unnest(range(1, 10)) AS i FROM b)),
 wh AS (SELECT b.doc_id, b.ref, common.i, coalesce(cw.c, 0) AS c FROM b JOIN common ON common.language = b.language LEFT JOIN cw ON cw.doc_id = b.doc_id AND cw.word = common.word),
-fit AS (SELECT doc_id, language FROM b WHERE NOT base_failed AND language IS NOT NULL AND word_chars >= 200 AND 100 * n_symbols <= word_chars),
+fit AS (SELECT doc_id, language FROM b WHERE n_words >= 10 AND n_dup_lines = 0 AND language IS NOT NULL AND word_chars >= 200 AND 100 * n_symbols <= word_chars),
 cf AS (SELECT language, i, c * 1000000 // greatest(sum(c) OVER (PARTITION BY ch.doc_id), 1) AS s FROM ch JOIN fit ON fit.doc_id = ch.doc_id),
 wf AS (SELECT language, i, c * 1000000 // greatest(sum(c) OVER (PARTITION BY wh.doc_id), 1) AS s FROM wh JOIN fit ON fit.doc_id = wh.doc_id),
 cr AS (SELECT language, i, sum(s) AS c FROM cf GROUP BY language, i UNION ALL SELECT 'any', i, sum(s) FROM cf GROUP BY i),

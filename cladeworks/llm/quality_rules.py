@@ -3,8 +3,8 @@
 Base counts of every text (see `base_counts`) give the base rules. The method compares two histograms of a document
 with those of its language by the Jensen-Shannon distance (base 2, 0 to 1): the shares of character classes, and the
 shares of the language's common words among all common words. The language of a document is the one whose common
-words it has most of. References are learnt from the table (one of all languages serves documents without any common word): the mean histogram of the documents that pass the
-base rules, are long enough and have few symbols; a mean of per-document shares gives a long text no more say than a
+words it has most of. References are learnt from the table (one of all languages serves documents without any common word): the mean histogram of the documents that are
+long enough, repeat no line and have few symbols (counts that need no windows of words); a mean of per-document shares gives a long text no more say than a
 short one, and integer shares make it exact in any order. A document is kept if both distances are within their limits;
 documents with fewer than MIN_CHARS characters in words, or fewer than MIN_COMMON common words, are too short for
 the histogram in question and pass it. A language without reference documents rejects nothing.
@@ -152,7 +152,8 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 def references(df: DataFrame) -> DataFrame:
     """(language, char_reference, word_reference): summed whole shares of the documents fit to be an example."""
     # conditional sums, not a filter, which would compute every count twice
-    fit = (~F.col("base_failed") & F.col("language").isNotNull() & (F.col("word_chars") >= MIN_CHARS) & (100 * F.col("n_symbols") <= F.col("word_chars")))
+    fit = F.col("language").isNotNull() & (F.col("n_words") >= MIN_WORDS) & (F.col("word_chars") >= MIN_CHARS)
+    fit = fit & (F.col("n_dup_lines") == 0) & (100 * F.col("n_symbols") <= F.col("word_chars"))
     df = df.select("language", fit.alias("__fit"), F.col("__chars").alias("c"), F.col("__word_hist").alias("w"), _total(F.col("__chars")).alias("nc"), _total(F.col("__word_hist")).alias("nw"))
 
     def sums(name, n):
