@@ -79,7 +79,7 @@ def write_newick(root: Node) -> str:
         if re.search(r"[\s(),:;\[\]']", label):
             label = "'" + label.replace("'", "''") + "'"
         inside = "(" + ",".join(done[id(c)] for c in n.children) + ")" if n.children else ""
-        done[id(n)] = inside + label + (f":{n.length!r}" if n.length is not None else "")
+        done[id(n)] = inside + label + (f":{float(n.length)!r}" if n.length is not None else "")
     return done[id(root)] + ";"
 
 
@@ -175,7 +175,7 @@ def nj_trees(distances: DataFrame, members: DataFrame, most: int = 2000) -> Data
 
     kind = members.schema["cluster_id"].dataType.simpleString()
     left = members.select("cluster_id", F.col("name").cast("string").alias("name")).groupBy("cluster_id")
-    right = distances.select("cluster_id", F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), F.col("distance").cast("double").alias("distance")).groupBy("cluster_id")
+    right = distances.select(F.col("cluster_id").alias("of_cluster"), F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), F.col("distance").cast("double").alias("distance")).groupBy("of_cluster")
     return left.cogroup(right).applyInPandas(build, f"cluster_id {kind}, n_tips bigint, method string, newick string")
 
 

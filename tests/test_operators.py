@@ -178,6 +178,7 @@ def test_neighbour_joining_recovers_an_additive_tree():
     names = list("abcd")
     d = np.array([[0, 3, 7, 8], [3, 0, 6, 7], [7, 6, 0, 5], [8, 7, 5, 0]], float)
     root = trees.neighbour_joining(names, d)
+    assert len(trees.parse_newick(trees.write_newick(root)).tips()) == 4 and "float" not in trees.write_newick(root)
     dist = {}
 
     def down(node):
@@ -192,6 +193,12 @@ def test_neighbour_joining_recovers_an_additive_tree():
     assert all(abs(dist[frozenset((names[i], names[j]))] - d[i, j]) < 1e-9 for i in range(4) for j in range(i))
 
 
+def test_trees_by_cluster(spark):
+    rows_ = frame(spark, "cluster_id string, rep int, seq string", *[("x", i, s) for i, s in enumerate(("AAAA", "AAAC", "CCCC", "CCCA"))], ("y", 9, "A"))
+    found = trees.nj_trees(al.snp_distances(rows_).withColumnRenamed("n_snps", "distance"), rows_.select("cluster_id", F.col("rep").alias("name")))
+    assert rows(found, "cluster_id", "n_tips", "method") == [("x", 4, "neighbour_joining"), ("y", 1, "star")]
+
+
 def test_trees_as_rows(spark):
     edges = trees.parse_trees(frame(spark, "tree_id string, newick string", ("t", "((a:1.0,b:2.0)n:0.5,c);")))
     assert rows(trees.write_trees(edges), "newick") == [("((a:1.0,b:2.0)n:0.5,c);",)]
