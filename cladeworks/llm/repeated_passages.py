@@ -1,20 +1,18 @@
-"""Repeated passages across documents, by sparse suffix arrays.
+"""Repeated passages across documents, by sparse suffixes and exact windows.
 
 A passage is PASSAGE or more consecutive words (0-9, a-z with A-Z lower-cased, characters beyond ASCII) that also
 occur in another document.
 
 1. Suffixes are kept at minimisers: of every WINDOW adjacent runs of GRAM words, the one with the least hash. The
-   choice depends on content only, so every common passage of PASSAGE words has a kept suffix, no later than
-   REACH words after its beginning, that shares its first KEY words with the other occurrence.
+   choice depends on content only, so every window of PASSAGE words has a kept suffix, no later than REACH words
+   after its beginning, that shares its first KEY words with the window's other occurrences.
 2. Suffixes are put in order of their first KEY words by a range sort that may split a key, and only those with an
    equal neighbour stay. Exact copies of a text take part once.
-3. These get their context, REACH words to the left and beyond the key, two bytes a word, and are sorted in full:
-   by key, then the words that follow, then those before. Each is compared with its neighbours of other documents on
-   both sides; the match is extended left and right and counts from PASSAGE words on. Longer passages are
-   the union of the matches of their suffixes.
+3. Every window of PASSAGE words whose kept suffix stayed is hashed whole and dealt by that hash; those in two or more
+   documents are matches. So no candidate is left out, however many documents share a line or a key: they
+   meet only where all PASSAGE words are equal, and each then costs one row. Passages are the unions of the windows.
 
-A key of more than BLOCK suffixes is compared in blocks, each with the key's first suffix as a common neighbour. Two
-different words count as equal with probability 1/65535 at the border of a match.
+Two different windows count as equal where their 64-bit hashes are.
 
 Edge cases: null texts and texts of fewer than PASSAGE words have no passages; a text that occurs in several
 documents is a passage from end to end; repeats inside one document alone do not count; rows without doc_id are left
@@ -34,23 +32,29 @@ from .common import spread, table
 from .words import Words, mix, runs
 
 PASSAGE, GRAM, WINDOW = 50, 8, 34
-#: A passage's first kept suffix begins at most REACH words in; so much context makes a passage certain.
+#: A window's kept suffix begins at most REACH words in, so KEY words of it are inside.
 REACH = WINDOW - 1
 KEY = PASSAGE - REACH
 BLOCK, SALTS = 4096, 16
 
 
-def minimisers(w: Words) -> np.ndarray:
-    """Word positions of the kept suffixes that have KEY words."""
+def _least(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Every place with WINDOW runs of GRAM words from there on, and the place of the least run among them."""
     gram, _ = runs(w.hashes, w.offsets, GRAM)
     n, span = len(gram), WINDOW + GRAM - 1
     if n < span:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     last = np.repeat(w.offsets[1:], np.diff(w.offsets))
     rank = mix(gram ^ np.uint64(0x5DEECE66D))
     least = sliding_window_view(rank, WINDOW).argmin(axis=1)
-    whole = np.arange(len(least)) + span <= last[: len(least)]
-    at = np.unique(np.arange(len(least))[whole] + least[whole])
+    begin = np.flatnonzero(np.arange(len(least)) + span <= last[: len(least)])
+    return begin, begin + least[begin]
+
+
+def minimisers(w: Words) -> np.ndarray:
+    """Word positions of the kept suffixes that have KEY words."""
+    at = np.unique(_least(w)[1])
+    last = np.repeat(w.offsets[1:], np.diff(w.offsets))
     return at[at + KEY <= last[at]]
 
 
@@ -114,12 +118,24 @@ def with_equal_neighbour(found: DataFrame) -> DataFrame:
     return ranged.mapInArrow(run, "key bigint, doc_id bigint, pos int, block int")
 
 
-def contexts(rows: DataFrame) -> DataFrame:
-    """(key, block, doc_id, pos, right, left): words after the key and, backwards, before it, two bytes each.
+def _window_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Hash of the PASSAGE words from every word on, put together from runs of 1, 2, 4, ... words."""
+    ahead = lambda x, k: np.append(x[k:], np.zeros(min(k, len(x)), np.uint64))
+    out, done, part, width = np.zeros(len(hashes), np.uint64), 0, hashes, 1
+    while width <= PASSAGE:
+        if PASSAGE & width:
+            out = mix(out + ahead(part, done) * np.uint64(2 * width + 1))
+            done += width
+        part = mix(part + ahead(part, width) * np.uint64(5))
+        width *= 2
+    return out
+
 
-    rows: doc_id, text, suffixes (array of key, pos, block). 0 stands for no word.
+def windows(rows: DataFrame) -> DataFrame:
+    """(window, doc_id, begin): hash and place of the passage-long windows whose kept suffix is listed.
+
+    rows: doc_id, text, places (array of the listed suffixes' pos).
     """
-    kind = "key bigint, block int, doc_id bigint, pos int, right binary, left binary"
 
     def run(batches):
         for batch in batches:
@@ -127,106 +143,96 @@ def contexts(rows: DataFrame) -> DataFrame:
             for at in range(0, len(texts), 128):
                 w = Words(texts[at : at + 128])
                 lists = batch.column(2).slice(at, 128)
-                sizes = np.diff(lists.offsets.to_numpy())
-                flat = lists.flatten()
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                key, pos, block = (flat.field(i).to_numpy() for i in range(3))
-                here = w.offsets[owner] + pos
-                short = np.maximum(w.hashes & np.uint64(0xFFFF), np.uint64(1)).astype(">u2")
-                padded = np.append(short, np.zeros(1, ">u2"))
-                step = np.arange(REACH)
-                right, left = here[:, None] + KEY + step, here[:, None] - 1 - step
-                right = np.where(right < w.offsets[owner + 1][:, None], right, len(short))
-                left = np.where(left >= w.offsets[owner][:, None], left, len(short))
-                binary = lambda x: pa.array([r.tobytes() for r in padded[x]], pa.binary())
+                owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                listed = np.zeros(len(w.hashes), bool)
+                listed[w.offsets[owner] + lists.flatten().to_numpy()] = True
+                begin, least = _least(w)
+                last = np.repeat(w.offsets[1:], np.diff(w.offsets))
+                begin = begin[listed[least] & (begin + PASSAGE <= last[begin])]
+                owner = np.searchsorted(w.offsets, begin, side="right") - 1
                 doc = batch.column(0).to_numpy()[at : at + 128][owner]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(block), pa.array(doc), pa.array(pos), binary(right), binary(left)], ["key", "block", "doc_id", "pos", "right", "left"])
-
-    return rows.mapInArrow(run, kind)
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Number of leading words that two contexts share."""
-    same = (a == b) & (a != 0)
-    return np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1))
-
-
-def extended(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, right: np.ndarray, left: np.ndarray):
-    """Best match of each sorted suffix with a neighbour of another document: (row, begin, end, partner row, its begin)."""
-    n = len(doc)
-    cut = np.ones(n + 1, bool)
-    cut[1:n] = (group[1:] != group[:-1]) | (doc[1:] != doc[:-1])
-    edge = np.flatnonzero(cut)
-    run = np.searchsorted(edge, np.arange(n), side="right") - 1
-    best, other, l_best, r_best = np.zeros(n, np.int64), np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, np.int64)
-    before, after = edge[run] - 1, edge[run + 1]
-    for near in (before, after, before - 1, after + 1):
-        rows = np.flatnonzero((near >= 0) & (near < n))
-        rows = rows[(group[near[rows]] == group[rows]) & (doc[near[rows]] != doc[rows])]
-        q = near[rows]
-        r, l_ = _common(right[rows], right[q]), _common(left[rows], left[q])
-        better = l_ + r + KEY > best[rows]
-        rows, q, r, l_ = rows[better], q[better], r[better], l_[better]
-        best[rows], other[rows], l_best[rows], r_best[rows] = l_ + r + KEY, q, l_, r
-    rows = np.flatnonzero(best >= PASSAGE)
-    return rows, pos[rows] - l_best[rows], pos[rows] + KEY + r_best[rows], other[rows], pos[other[rows]] - l_best[rows]
-
-
-def matches(contextual: DataFrame) -> DataFrame:
-    """(doc_id, begin, end, other_doc_id, other_begin) from neighbours in full suffix order."""
-    ranged = contextual.select("key", "block", "doc_id", "pos", "right", "left").repartition("key", "block").sortWithinPartitions("key", "block", "right", "left", "doc_id", "pos")
-    names = ["doc_id", "begin", "end", "other_doc_id", "other_begin"]
+                yield pa.RecordBatch.from_arrays([pa.array(_window_hashes(w.hashes)[begin].view(np.int64)), pa.array(doc, pa.int64()), pa.array((begin - w.offsets[owner]).astype(np.int32))], ["window", "doc_id", "begin"])
 
-    def compared(whole: pa.Table):
-        columns = [whole.column(i).combine_chunks() for i in range(6)]
-        key, block, doc, pos = (c.to_numpy() for c in columns[:4])
-        right, left = (np.frombuffer(b"".join(c.to_pylist()), ">u2").reshape(-1, REACH) for c in columns[4:])
-        group = np.cumsum(np.concatenate([[True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])]))
-        rows, begin, end, other, other_begin = extended(group, doc, pos.astype(np.int64), right, left)
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc[rows], begin, end, doc[other], other_begin)], names)
+    return rows.mapInArrow(run, "window bigint, doc_id bigint, begin int")
+
+
+def matches(found: DataFrame) -> DataFrame:
+    """(doc_id, begin, other_doc_id, other_begin) of every window that another document has too.
+
+    The partner is the window's first place in order of doc_id, or its first place in a second document.
+    """
+    dealt = found.select("window", "doc_id", "begin").repartition("window").sortWithinPartitions("window", "doc_id", "begin")
+    names = ["doc_id", "begin", "other_doc_id", "other_begin"]
 
     def run(batches):
-        held = []
+        # of the last window so far: its first two documents' first rows, or all rows of its only document
+        held, sent = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32)], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(batch)
-            whole = pa.Table.from_batches(held)
-            key, block = whole.column(0).to_numpy(), whole.column(1).to_numpy()
-            new = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
-            if len(new) and whole.num_rows >= 4000:  # all groups but the last are complete
-                yield compared(whole.slice(0, int(new[-1])))
-                held = whole.slice(int(new[-1])).to_batches()
-        if held:
-            yield compared(pa.Table.from_batches(held))
-
-    return ranged.mapInArrow(run, "doc_id bigint, begin bigint, end bigint, other_doc_id bigint, other_begin bigint")
+            window, doc, begin = (np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held))
+            new = np.append(True, window[1:] != window[:-1])
+            group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+            first = starts[group]
+            beyond = doc != doc[first]
+            seconds = np.flatnonzero(beyond & ~np.append(False, beyond[:-1]))
+            second = np.full(len(starts), -1)
+            second[group[seconds]] = seconds
+            other = np.where(beyond, first, second[group])
+            rows = np.flatnonzero(other >= 0)
+            rows = rows[rows >= sent]
+            if len(rows):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[rows], begin[rows], doc[other[rows]], begin[other[rows]])], names)
+            keep, sent = ([starts[-1], second[-1]], 2) if second[-1] >= 0 else (slice(starts[-1], None), 0)
+            held = [x[keep] for x in (window, doc, begin)]
+
+    return dealt.mapInArrow(run, "doc_id bigint, begin int, other_doc_id bigint, other_begin int")
 
 
 def merged(spans: DataFrame) -> DataFrame:
     """One row per document: n_repeated words and passages, the disjoint unions of its matches.
 
-    A passage names the partner of its first match, and how many words its matches share with it at least.
+    A passage names the partner of its first match, the longest there; they share PASSAGE words at least.
     """
-    match = F.struct("begin", "end", "other_doc_id", "other_begin")
-    rows = spans.groupBy("doc_id", "begin").agg(F.max(F.struct("end", "other_doc_id", "other_begin")).alias("m"))
-    rows = rows.select("doc_id", "begin", "m.end", "m.other_doc_id", "m.other_begin").groupBy("doc_id").agg(F.sort_array(F.collect_list(match)).alias("all"))
+    names = ["doc_id", "begin", "end", "other_doc_id", "other_begin"]
+    fields = ["begin", "end", "other_doc_id", "other_begin"]
+    dealt = spans.select(*names).repartition("doc_id").sortWithinPartitions("doc_id", "begin", F.desc("end"), "other_doc_id", "other_begin")
     kind = "array<struct<begin:bigint,end:bigint,other_doc_id:bigint,other_begin:bigint>>"
+    arrow = pa.list_(pa.struct([(n, pa.int64()) for n in fields]))
+
+    def out(docs):
+        sizes = [sum(p["end"] - p["begin"] for p in x) for _, x in docs]
+        return pa.RecordBatch.from_arrays([pa.array([d for d, _ in docs], pa.int64()), pa.array(sizes, pa.int64()), pa.array([x for _, x in docs], arrow)], ["doc_id", "n_repeated", "passages"])
 
     def run(batches):
+        docs: list[tuple[int, list[dict]]] = []  # the last may go on in the next batch
         for batch in batches:
-            out = []
-            for spans in batch.column(1).to_pylist():
-                joined = []
-                for s in spans:
-                    if joined and s["begin"] <= joined[-1]["end"]:
-                        joined[-1]["end"] = max(joined[-1]["end"], s["end"])
-                    else:
-                        joined.append(dict(s))
-                out.append(joined)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sum(s["end"] - s["begin"] for s in x) for x in out], pa.int64()), pa.array(out, batch.schema.field(1).type)], ["doc_id", "n_repeated", "passages"])
-
-    return rows.mapInArrow(run, f"doc_id bigint, n_repeated bigint, passages {kind}")
+            if not batch.num_rows:
+                continue
+            doc, begin, end = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+            new = np.append(True, doc[1:] != doc[:-1])
+            # the farthest end so far within each document
+            rank = np.cumsum(new) << 40
+            if docs and docs[-1][0] == doc[0]:
+                end[0] = max(end[0], docs[-1][1][-1]["end"])
+            far = np.maximum.accumulate(rank + end) - rank
+            starts = np.flatnonzero(new | np.append(True, begin[1:] > far[:-1]))
+            ends = far[np.append(starts[1:], len(doc)) - 1]
+            for row, stop in zip(batch.take(pa.array(starts)).to_pylist(), ends.tolist()):
+                if not docs or docs[-1][0] != row["doc_id"]:
+                    if len(docs) >= 1000:
+                        yield out(docs)
+                        docs = []
+                    docs.append((row["doc_id"], []))
+                all_ = docs[-1][1]
+                if all_ and row["begin"] <= all_[-1]["end"]:
+                    all_[-1]["end"] = max(all_[-1]["end"], stop)
+                else:
+                    all_.append({n: row[n] for n in fields} | {"end": stop})
+        if docs:
+            yield out(docs)
+
+    return dealt.mapInArrow(run, f"doc_id bigint, n_repeated bigint, passages {kind}")
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -255,9 +261,10 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # suffixes of one document for each text: later copies have the same
     reps = classes.select(F.col("rep").alias("doc_id"))
     found = with_equal_neighbour(found.join(reps, "doc_id", "left_semi"))
-    by_doc = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("key", "pos", "block"))).alias("suffixes"))
+    by_doc = found.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
     texts = by_doc.join(classes.select(F.col("rep").alias("doc_id"), "copy_key"), "doc_id").join(small, ["doc_id", "copy_key"])
-    spans = matches(contexts(texts.select("doc_id", "text", "suffixes")))
+    spans = matches(windows(texts.select("doc_id", "text", "places")))
+    spans = spans.withColumn("end", F.col("begin") + PASSAGE).select(*(F.col(c).cast("bigint") for c in copies.columns))
     return merged(spans.unionByName(copies))
 
 

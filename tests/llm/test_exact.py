@@ -243,6 +243,31 @@ def test_repeated_passages_are_brute_force(spark):
     assert repeated_passages.repeated_passages(empty(spark)).count() == 0
 
 
+def repeated_by_brute_force(docs):
+    """Repeated words of each document, from all of its windows."""
+    where = collections.defaultdict(set)
+    for i, w in enumerate(docs):
+        for k in range(len(w) - 49):
+            where[tuple(w[k : k + 50])].add(i)
+    hits = {i: {k + j for k in range(len(w) - 49) if len(where[tuple(w[k : k + 50])]) > 1 for j in range(50)} for i, w in enumerate(docs)}
+    return {i: len(h) for i, h in hits.items() if h}
+
+
+def test_passages_that_end_in_a_common_line(spark):
+    rng = random.Random(5)
+    words = lambda n: ["w" + str(rng.randrange(9000)) for _ in range(n)]
+    line = words(30)
+    docs = [words(25) + line + words(25) for _ in range(1500)]
+    for n in (20, 21, 22, 25, 30):  # shared by two documents only: words before the line, or after it
+        for _ in range(6):
+            before, after = words(n), words(n)
+            docs += [words(9) + before + line + words(40) for _ in range(2)] + [words(40) + line + after + words(9) for _ in range(2)]
+    expected = repeated_by_brute_force(docs)
+    assert len(expected) == 120
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["n_repeated"] for r in repeated_passages.repeated_passages(frame).collect()} == expected
+
+
 def test_base_rules_of_personal_data():
     plain = [
         ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda s: True),
