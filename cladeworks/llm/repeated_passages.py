@@ -35,7 +35,7 @@ PASSAGE, GRAM, WINDOW = 50, 8, 34
 #: A window's kept suffix begins at most REACH words in, so KEY words of it are inside.
 REACH = WINDOW - 1
 KEY = PASSAGE - REACH
-BLOCK, SALTS = 4096, 16
+SALTS = 16
 
 
 def _least(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -80,15 +80,14 @@ def suffixes(texts: DataFrame) -> DataFrame:
 
 
 def with_equal_neighbour(found: DataFrame) -> DataFrame:
-    """The suffixes whose key occurs again, with the key's block; first and last of a range stay in any case."""
+    """The suffixes whose key occurs again, however often; first and last of a range stay in any case."""
     ranged = found.select("key", "doc_id", "pos").repartitionByRange("key", "doc_id", "pos").sortWithinPartitions("key", "doc_id", "pos")
 
     def run(batches):
-        def out(key, doc, pos, place):
-            block = (place // BLOCK).astype(np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(pos), pa.array(block)], ["key", "doc_id", "pos", "block"])
+        def out(key, doc, pos):
+            return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(pos, pa.int32())], ["key", "doc_id", "pos"])
 
-        last = None  # a row whose neighbour is still unknown: key, doc, pos, place
+        last = None  # a row whose neighbour is still unknown: key, doc, pos, whether it stays
         for batch in batches:
             key, doc, pos = (batch.column(i).to_numpy() for i in range(3))
             if not len(key):
@@ -96,26 +95,20 @@ def with_equal_neighbour(found: DataFrame) -> DataFrame:
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             new[0] = last is None or key[0] != last[0]
-            start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-            place = np.where(start >= 0, np.arange(len(key)) - start, np.arange(len(key)) + (last[3] + 1 if last else 0))
             again = np.append(~new[1:], False)  # the next row has the same key
             stay = ~new | again
-            if last is not None and (not new[0] or last[4]):
-                yield out(*(np.array([v]).astype(t) for v, t in zip(last, (np.int64, np.int64, np.int32, np.int64))))
+            if last is not None and (not new[0] or last[3]):
+                yield out(*([v] for v in last[:3]))
             if last is None:
                 stay[0] = True
             body = np.flatnonzero(stay[:-1])
             if len(body):
-                yield out(key[body], doc[body], pos[body], place[body])
-            heads = body[(place[body] > 0) & (place[body] % BLOCK == 0) & (start[body] >= 0)]
-            if len(heads):  # the key's first suffix joins each further block
-                lead = start[heads]
-                yield out(key[lead], doc[lead], pos[lead], place[heads])
-            last = (key[-1], doc[-1], pos[-1], place[-1], bool(stay[-1]))
+                yield out(key[body], doc[body], pos[body])
+            last = (key[-1], doc[-1], pos[-1], bool(stay[-1]))
         if last is not None:
-            yield out(*(np.array([v]).astype(t) for v, t in zip(last, (np.int64, np.int64, np.int32, np.int64))))
+            yield out(*([v] for v in last[:3]))
 
-    return ranged.mapInArrow(run, "key bigint, doc_id bigint, pos int, block int")
+    return ranged.mapInArrow(run, "key bigint, doc_id bigint, pos int")
 
 
 def _window_hashes(hashes: np.ndarray) -> np.ndarray:

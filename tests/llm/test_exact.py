@@ -268,6 +268,21 @@ def test_passages_that_end_in_a_common_line(spark):
     assert {r["doc_id"]: r["n_repeated"] for r in repeated_passages.repeated_passages(frame).collect()} == expected
 
 
+def test_passages_behind_a_key_of_very_many_suffixes(spark):
+    rng = random.Random(6)
+    words = lambda n: ["w" + str(rng.randrange(9000)) for _ in range(n)]
+    line = words(30)
+    docs = [words(8) + line + words(12) for _ in range(9000)]
+    for k in range(40):  # holders far apart
+        docs[k] = docs[8999 - k] = words(20) + line + words(10)
+        docs[k], docs[8999 - k] = docs[k] + words(5), docs[8999 - k] + words(5)
+    expected = repeated_by_brute_force(docs)
+    assert len(expected) == 80
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id bigint, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    assert {r["doc_id"]: r["n_repeated"] for r in repeated_passages.repeated_passages(frame).collect()} == expected
+
+
 def test_base_rules_of_personal_data():
     plain = [
         ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda s: True),
