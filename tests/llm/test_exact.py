@@ -322,6 +322,19 @@ def test_quality_rules_base_counts(spark):
     assert quality_rules.quality_rules(empty(spark)).count() == 0
 
 
+def test_references_are_of_documents_that_pass_the_base_rules(spark):
+    clean = [" ".join(f"the n{i}x{j} of m{i}x{j} and" for j in range(40)) for i in range(3)]
+    one_line = "the the of the the " * 60  # five-word windows repeat, lines do not
+    lines = clean[0] + "\nsame line\nsame line"
+    rows = [(0, one_line), (1, lines), *((2 + i, t) for i, t in enumerate(clean))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = quality_rules.measured(frame)
+    assert {r["doc_id"]: r["base_failed"] for r in found.collect()}[0]
+    passing = quality_rules.measured(frame.filter("doc_id <> 0"))
+    assert {tuple(map(str, r)) for r in quality_rules.references(found).collect()} == {tuple(map(str, r)) for r in quality_rules.references(passing).collect()}
+    assert quality_rules.references(quality_rules.measured(frame.filter("doc_id = 1"))).filter("language = 'en'").count() == 1
+
+
 def test_digest_of_no_items_is_that_of_an_empty_text(spark):
     found = decontaminate.op8_decontaminate(spark, SF).filter("n_items = 0").first()
     assert found["items_sha256"] == hashlib.sha256(b"").hexdigest() and found["contaminated"] is False
