@@ -308,6 +308,20 @@ def test_personal_data_is_found_beyond_the_base(spark, odd):
     assert personal_data.find_personal_data(odd).count() == odd.count() and personal_data.find_personal_data(empty(spark)).count() == 0
 
 
+def test_secrets_of_any_length_are_covered_whole():
+    rng = random.Random(8)
+    trees, thresholds = personal_data.model()
+    for n in (100, 128, 129, 300, 5000):
+        value = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+        for text in (f"la {value} lo", f"token = {value} lo", f"password={value}!# lo"):
+            begin = text.index(value)
+            end = text.index(" lo")
+            assert ("secret", begin, end) in personal_data.candidates(text)
+            spans = personal_data.find(text, trees, thresholds)[1]
+            assert not spans or spans == [("secret", begin, end)]
+            assert spans or text.startswith("la")
+
+
 def test_quality_rules_base_counts(spark):
     texts = [t for _, t in documents()] + ODD + ["a\nb\n\n \nb\nb", "x # * | y", "p q r s t p q r s t", "one two three four five " * 30]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").withColumn("kept", F.lit("clash"))
