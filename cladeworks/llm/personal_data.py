@@ -39,7 +39,6 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_ANY = re.compile(r"[0-9@]|[\[({] ?at ?[\])}]|[Pp]assw|[Ss]ecret|[Tt]oken|\b[Kk]ey\b")
 
 
 def luhn(digits: str) -> bool:
@@ -100,6 +99,9 @@ CUES = {
     "secret": ("passw", "secret", "token", "key", "auth", "login", "pwd"),
 }
 
+#: What every candidate has: a digit, an @, a spelled-out one, or a cue word of secrets.
+_ANY = re.compile(r"[0-9@]|[\[({] ?(?:at|AT) ?[\])}]|(?i:" + "|".join(CUES["secret"]) + ")")
+
 
 def features(text: str, kind: str, begin: int, end: int) -> list[float]:
     """Format and context of a candidate."""
@@ -120,13 +122,18 @@ def features(text: str, kind: str, begin: int, end: int) -> list[float]:
     ]
 
 
+def _cued(text: str, begin: int) -> bool:
+    near = text[max(0, begin - CONTEXT) : begin].lower()
+    return any(c in near for c in CUES["secret"])
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """Overlapping proposals of all generators."""
     out = []
     for kind, pattern in GENERATORS:
         for m in pattern.finditer(text):
             begin, end = m.span("s") if "s" in pattern.groupindex else m.span()
-            if kind != "secret" or any("0" <= c <= "9" for c in text[begin:end]):
+            if kind != "secret" or any("0" <= c <= "9" for c in text[begin:end]) or _cued(text, begin):
                 out.append((kind, begin, end))
     return out
 
@@ -190,6 +197,14 @@ def _examples(seed: int, n: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
         x.append(features(text, kind, begin, begin + len(s)))
         y.append(float(good))
         kinds.append(kind)
+    for k in range(n // 20):  # without digits: passwords of several parts or cases, and ordinary words after the same cues
+        good = bool(k % 2)
+        s = pick(f"{word()}-{word()}-{word()}", f"{word()}_{word()}!", over(low + up, pick(12, 16, 20)), word().title() + word().title() + pick("!", "#")) if good else over("aeiounrstlmdch", 6 + k % 9) + pick("", "", ".")
+        text = f"{word()} {pick('password', 'passwd', 'secret', 'token', 'key')}{pick('=', ': ', ' = ')}"
+        begin = len(text)
+        x.append(features(text + s + " " + word(), "secret", begin, begin + len(s)))
+        y.append(float(good))
+        kinds.append("secret")
     return np.array(x), np.array(y), kinds
 
 

@@ -322,6 +322,22 @@ def test_secrets_of_any_length_are_covered_whole():
             assert spans or text.startswith("la")
 
 
+def test_prefilter_and_digits_lose_no_candidate():
+    trees, thresholds = personal_data.model()
+    kinds = lambda t: [(k, t[b:e]) for k, b, e in personal_data.find(t, trees, thresholds)[1]]
+    for at, dot in (("at", "dot"), ("AT", "DOT")):
+        spelled = f"john ({at}) example ({dot}) com"
+        assert kinds(f"write to {spelled} now") == kinds(f"write to {spelled} now 7") == [("email", spelled)]
+    for text in ("password: correct-horse-battery", "PASSWORD=correct-horse-battery", "my apikey=abcdefGHIJKLmnopqrst"):
+        begin = max(text.find("correct"), text.find("abcdef"))
+        assert ("secret", begin, len(text)) in personal_data.candidates(text) and personal_data._ANY.search(text)
+    assert kinds("password: correct-horse-battery") == [("secret", "correct-horse-battery")]
+    assert kinds("The key: understand this") == kinds("token: authentication is hard") == []
+    assert personal_data.candidates("an internationalization of words") == []
+    for text in [t for _, t in documents()] + noise(200):
+        assert personal_data._ANY.search(text) or not personal_data.candidates(text) and not personal_data.base_spans(text)
+
+
 def test_quality_rules_base_counts(spark):
     texts = [t for _, t in documents()] + ODD + ["a\nb\n\n \nb\nb", "x # * | y", "p q r s t p q r s t", "one two three four five " * 30]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").withColumn("kept", F.lit("clash"))
