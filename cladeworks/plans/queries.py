@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as fn
@@ -315,10 +315,9 @@ def _unique_per_cluster(spark, d):
 
 
 def nj_tree(spark, d):
-    classes = _unique_per_cluster(spark, d)
-    first = kept(classes.withColumn("i", F.row_number().over(Window.partitionBy("cluster_id").orderBy("rep"))).withColumn("cluster_id", F.concat("cluster_id", F.lit("_"), F.floor(F.col("i") / 25).cast("string"))), "members")
-    pairs = al.snp_distances(first.select("cluster_id", "rep", "seq")).withColumnRenamed("n_snps", "distance")
-    return trees.nj_trees(pairs, first.select("cluster_id", F.col("rep").alias("name")))
+    classes = kept(_unique_per_cluster(spark, d).withColumn("cluster_id", F.col("cluster_id").cast("string")), "members")
+    pairs = al.snp_distances(classes).withColumnRenamed("n_snps", "distance")
+    return trees.nj_trees(pairs, classes.select("cluster_id", F.col("rep").alias("name")))
 
 
 def graft_trees(spark, d):

@@ -199,6 +199,17 @@ def test_trees_by_cluster(spark):
     assert rows(found, "cluster_id", "n_tips", "method") == [("x", 4, "neighbour_joining"), ("y", 1, "star")]
 
 
+def test_nj_tree_is_one_tree_of_a_whole_cluster(spark):
+    from cladeworks.plans import queries
+
+    d = "/root/testdata/sf0.001"
+    expected = {str(r["cluster_id"]): r["count"] for r in queries._unique_per_cluster(spark, d).groupBy("cluster_id").count().collect()}
+    found = queries.nj_tree(spark, d).collect()
+    assert {r["cluster_id"]: r["n_tips"] for r in found} == expected and len(found) == len(expected) and max(expected.values()) > 25
+    for r in found:
+        assert len(trees.parse_newick(r["newick"]).tips()) == r["n_tips"] and (r["method"] == "neighbour_joining") == (r["n_tips"] > 2)
+
+
 def test_trees_as_rows(spark):
     edges = trees.parse_trees(frame(spark, "tree_id string, newick string", ("t", "((a:1.0,b:2.0)n:0.5,c);")))
     assert rows(trees.write_trees(edges), "newick") == [("((a:1.0,b:2.0)n:0.5,c);",)]
