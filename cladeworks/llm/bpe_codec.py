@@ -20,11 +20,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import spread, table, worker_cache
+from .common import in_arrow, spread, table, worker_cache
 from .merge_tables import MergeTable
+from .unicode_gap import NEWER_CLASS
 
 #: How byte-level BPE splits a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts with characters that the library does not know as letters or numbers.
+SPLIT_OLD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{{L}}--[{NEWER_CLASS}]]+| ?[\p{{N}}--[{NEWER_CLASS}]]+| ?(?:[^\s\p{{L}}\p{{N}}]|[{NEWER_CLASS}])+|\s+(?!\S)|\s+"
 #: The same for texts within Latin blocks, where letters and numbers are known to the faster library.
 LATIN = r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_²³¹¼½¾]+| ?[\d²³¹¼½¾]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 BEYOND_LATIN = "[\x1c-\x1f\u0180-\U0010ffff]"
@@ -41,6 +44,7 @@ class Codec:
             raise ValueError("a vocabulary without word-end suffix is needed")
         self.words, self.older, self.words_kept = {}, {}, words_kept
         self.split, self.latin, self.beyond = regex.compile(SPLIT), re.compile(LATIN), re.compile(BEYOND_LATIN)
+        self.newer, self.split_old = re.compile(f"[{NEWER_CLASS}]"), regex.compile(SPLIT_OLD, regex.V1)
         special = sorted(self.table.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.pieces = [b""] * (max([self.table.width - 1, *self.table.special.values()]) + 1)
@@ -60,20 +64,23 @@ class Codec:
             self.words[word] = packed
         return packed
 
+    def splitter(self, text: str):
+        if not self.beyond.search(text):
+            return self.latin
+        return self.split_old if self.newer.search(text) else self.split
+
     def encode(self, text: str | None) -> bytes:
         out, miss = [], self._miss
         for k, part in enumerate(self.cut.split(text or "") if self.cut else [text or ""]):
             if k % 2:
                 out.append(self.table.special[part].to_bytes(4, "little"))
             else:
-                split = self.split if self.beyond.search(part) else self.latin
-                out += [self.words.get(w) or miss(w) for w in split.findall(part)]
+                out += [self.words.get(w) or miss(w) for w in self.splitter(part).findall(part)]
         return b"".join(out)
 
     def encode_plain(self, text: str) -> bytes:
         """The same where strings of special tokens are ordinary text."""
-        split = self.split if self.beyond.search(text) else self.latin
-        return b"".join([self.words.get(w) or self._miss(w) for w in split.findall(text)])
+        return b"".join([self.words.get(w) or self._miss(w) for w in self.splitter(text).findall(text)])
 
     def decode(self, packed: bytes | None) -> str:
         pieces = self.pieces
@@ -84,21 +91,23 @@ def codec(path: str) -> Codec:
     return worker_cache(("bpe codec", path), lambda: Codec(path))
 
 
-def _mapped(df: DataFrame, source: str, added: list[tuple[str, str, pa.DataType]], make) -> DataFrame:
-    """df without the columns to add, plus those that make(values) returns for each batch."""
+def mapped(df: DataFrame, source: str, added: list[tuple[str, str, pa.DataType]], make, holds: tuple | None = None) -> DataFrame:
+    """df without the columns to add, plus those that make(values) returns for each batch of values of `source`."""
     names = {n for n, _, _ in added}
     kept = [f for f in df.schema.fields if f.name not in names]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{n}` {t}" for n, t, _ in added])
-    whole = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{source}`").alias("__source"))
+    # the source goes along under a name of its own only if it is to be replaced
+    own = [f.name for f in kept].index(source) if source in {f.name for f in kept} else None
+    whole = df.select(*[F.col(f"`{f.name}`") for f in kept], *([F.col(f"`{source}`").alias("__source")] if own is None else []))
 
     def run(batches):
         for batch in batches:
-            made = make(batch.column(batch.num_columns - 1).to_pylist())
-            arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
+            made = make(batch.column(own if own is not None else batch.num_columns - 1).to_pylist())
+            arrays = [batch.column(i) for i in range(len(kept))]
             arrays += [pa.array(v, t) for v, (_, _, t) in zip(made, added)]
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in kept] + [n for n, _, _ in added])
 
-    return whole.mapInArrow(run, schema)
+    return in_arrow(whole, run, schema, holds)
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
@@ -109,7 +118,7 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
         ids = [c.encode(t) for t in texts]
         return ids, [len(x) // 4 for x in ids]
 
-    return _mapped(df, text, [("ids", "binary", pa.binary()), ("n_tokens", "bigint", pa.int64())], make)
+    return mapped(df, text, [("ids", "binary", pa.binary()), ("n_tokens", "bigint", pa.int64())], make, ("bpe codec", tokenizer))
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
@@ -119,7 +128,19 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
         c = codec(tokenizer)
         return ([c.decode(p) for p in packed],)
 
-    return _mapped(df, ids, [("decoded", "string", pa.string())], make)
+    return mapped(df, ids, [("decoded", "string", pa.string())], make, ("bpe codec", tokenizer))
+
+
+def there_and_back(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
+    """df plus `ids`, `n_tokens` and `decoded`, in one stage of one set of workers."""
+
+    def make(texts):
+        c = codec(tokenizer)
+        ids = [c.encode(t) for t in texts]
+        return ids, [len(x) // 4 for x in ids], [c.decode(x) for x in ids]
+
+    added = [("ids", "binary", pa.binary()), ("n_tokens", "bigint", pa.int64()), ("decoded", "string", pa.string())]
+    return mapped(df, text, added, make, ("bpe codec", tokenizer))
 
 
 def digests(df: DataFrame) -> DataFrame:
@@ -137,4 +158,4 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     tokenizer = path("byte_bpe_50k.json")
-    return digests(decode(encode(docs, tokenizer).drop("text"), tokenizer))
+    return digests(there_and_back(docs, tokenizer))

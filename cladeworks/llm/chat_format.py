@@ -17,7 +17,8 @@ backslash more after its first character, and reading takes it away again. The l
 
 Edge cases: null texts and roles are empty; a null conv_id is a conversation of its own; rows are ordered by turn
 (null first), then role and text, and repeated rows all stay; an empty table gives no packs; other columns of the
-input are ignored. A conversation is held whole by one task, as its digest needs all its turns in order.
+input are ignored. A conversation is held whole by one task, as its digest needs all its turns in order; work on it is
+linear in its turns and texts, however long (its spans are few: turns that follow each other in a pack are one).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe_codec import codec
-from .common import table
+from .common import in_arrow, table
 
 MAX_TOKENS, MAX_LEAVES = 1 << 16, 1 << 10
 MARKS = {"user": ("[INST] ", " [/INST]"), "system": ("[SYS] ", " [/SYS]"), "assistant": ("<s> ", " </s>")}
@@ -81,7 +82,8 @@ class Pack:
     def __init__(self, encoder):
         self.encoder = encoder
         self.ids, self.positions, self.nodes, self.leaves, self.size = [], [], [], [], 0
-        self.path: list[tuple[tuple[str, str], int]] = []  # the last conversation: turn, node
+        # the last conversation: turn, node, tokens up to its end, and spans up to its end as (end, begin, spans before)
+        self.path: list[tuple[tuple[str, str], int, int, tuple | None]] = []
 
     def add(self, conv_id: int | None, turns: list[tuple[str, str]]) -> None:
         shared = 0
@@ -89,27 +91,25 @@ class Pack:
             shared += 1
         del self.path[shared:]
         for turn in turns[shared:]:
-            self.path.append((turn, self._node(*turn)))
+            self._grow(*turn)
         self.leaves.append({"conv_id": conv_id, "node": self.path[-1][1] if self.path else -1})
 
-    def _node(self, role: str, text: str) -> int:
+    def _grow(self, role: str, text: str) -> None:
+        """A node below the path's end, and one step more of the path; costs its own tokens and spans, not the path's."""
         parts = [self.encoder(p) for p in written(role, text)]
-        parent = self.path[-1][1] if self.path else -1
-        spans = [(self.nodes[n]["begin"], self.nodes[n]["end"]) for _, n in self.path]
-        depth = sum(e - b for b, e in spans)
+        parent, depth, above = self.path[-1][1:] if self.path else (-1, 0, None)
         begin, sizes = self.size, [len(p) // 4 for p in parts]
-        attends = []
-        for b, e in spans:
-            if attends and attends[-1]["end"] == b:
-                attends[-1] = {"begin": attends[-1]["begin"], "end": e}
-            else:
-                attends.append({"begin": b, "end": e})
         self.ids += parts
         self.positions.append(np.arange(depth, depth + sum(sizes), dtype="<u4").tobytes())
         self.size += sum(sizes)
         loss = (begin + sizes[0], begin + sizes[0] + sizes[1]) if role == "assistant" else (begin, begin)
-        self.nodes.append({"begin": begin, "end": self.size, "parent": parent, "role": role, "loss_begin": loss[0], "loss_end": loss[1], "attends": attends})
-        return len(self.nodes) - 1
+        attends, s = [], above
+        while s is not None:
+            attends.append({"begin": s[1], "end": s[0]})
+            s = s[2]
+        self.nodes.append({"begin": begin, "end": self.size, "parent": parent, "role": role, "loss_begin": loss[0], "loss_end": loss[1], "attends": attends[::-1]})
+        joined = (self.size, above[1], above[2]) if above is not None and above[0] == begin else (self.size, begin, above)
+        self.path.append(((role, text), len(self.nodes) - 1, depth + sum(sizes), joined))
 
     def row(self) -> pa.RecordBatch:
         ids = b"".join(self.ids)
@@ -137,7 +137,7 @@ def pack_conversations(rows: DataFrame, tokenizer: str) -> DataFrame:
         if pack.leaves:
             yield pack.row()
 
-    return whole.select("conv_id", "turns").mapInArrow(run, SCHEMA)
+    return in_arrow(whole.select("conv_id", "turns"), run, SCHEMA, ("bpe codec", tokenizer))
 
 
 def read_back(packs: DataFrame, tokenizer: str) -> DataFrame:
@@ -161,7 +161,8 @@ def read_back(packs: DataFrame, tokenizer: str) -> DataFrame:
                     kinds = (pa.int64(), pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())])), pa.string(), pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], ["conv_id", "turns", "loss_text", "formatted"])
 
-    return packs.select("ids", "nodes", "leaves").mapInArrow(run, "conv_id bigint, turns array<struct<role:string,text:string>>, loss_text string, formatted string")
+    schema = "conv_id bigint, turns array<struct<role:string,text:string>>, loss_text string, formatted string"
+    return in_arrow(packs.select("ids", "nodes", "leaves"), run, schema, ("bpe codec", tokenizer))
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,26 +2,79 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.shared import ship
 
-#: Rows and bytes of one Arrow batch, so that a Python worker never holds more than a few long texts.
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+#: Rows and bytes of one Arrow batch that the JVM sends, and bytes that a Python stage works on at once: its arrays take
+#: many times the bytes of their texts. One text may be longer than this; it is then worked on alone.
+BATCH_ROWS, BATCH_BYTES, SLICE_BYTES = 1000, 2 << 20, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data folder, with Arrow batches bounded for the Python stages that follow."""
+    """A table of the data folder."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, holds: tuple | None = None) -> DataFrame:
+    """df.mapInArrow in workers that hold little: small batches, no objects of other stages, freed memory given back.
+
+    holds: the key of the worker_cache entry that this stage uses; a worker forgets all others when the stage begins.
+    """
+    spark = df.sparkSession
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    def lean(batches):
+        forget_all_but(holds)
+        try:
+            yield from run(slices(batches))
+        finally:
+            give_back()
+
+    return df.mapInArrow(lean, schema)
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about SLICE_BYTES."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def give_back() -> None:
+    """Return memory that was freed to the system; a worker process outlives many stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when the input has fewer partitions than the cluster has cores (one small file)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal the rows of a small table out to all cores; larger ones are left as the scan splits them.
+
+    Decided from the sizes of the files alone: nothing of the plan is run.
+    """
+    spark = df.sparkSession
+    cores, leaves = spark.sparkContext.defaultParallelism, df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    conf = spark._jsparkSession.sessionState().conf()
+    split = max(conf.filesOpenCostInBytes(), min(conf.filesMaxPartitionBytes(), size // cores))
+    return df.repartition(cores) if size < split * cores and len(df.inputFiles()) < cores else df
+
+
+def forget_all_but(key: tuple | None) -> None:
+    """Drop what earlier stages left in this worker."""
+    if key not in _CACHE:
+        _CACHE.clear()
+    give_back()
 
 
 def worker_cache(key: tuple, build):

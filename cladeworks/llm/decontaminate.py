@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import spread, table, worker_cache
+from .common import in_arrow, spread, table, worker_cache
 from .words import Words
 
 WINDOW = 10
@@ -148,12 +148,14 @@ def decontaminate(
     for block in _blocks(test, item_id, text, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(([None if v != v else v for v in block["item"].tolist()], block["text"].tolist()))
 
-        def run(batches, sent=sent, key=("test set", uuid.uuid4().hex)):
+        key = ("test set", uuid.uuid4().hex)
+
+        def run(batches, sent=sent, key=key):
             tests = worker_cache(key, lambda: TestSet(*sent.value, window))
             for batch in batches:
                 yield _matched(batch, tests, text)
 
-        out = out.mapInArrow(run, f"{names}, n_words bigint, matches {kind}")
+        out = in_arrow(out, run, f"{names}, n_words bigint, matches {kind}", key)
     spans = F.array_sort(F.transform("matches", lambda m: F.struct(m["begin"].alias("b"), m["end"].alias("e"))))
     # words in the union of spans: each span adds what lies beyond the reach of those before it
     reach = F.aggregate(

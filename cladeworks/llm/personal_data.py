@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gbt
-from .bpe_codec import _mapped
+from .bpe_codec import mapped
 from .common import spread, table
 
 #: Kinds in the order of reports: the base kinds, then what only the trees find.
@@ -230,12 +230,13 @@ def find(text: str | None, trees: gbt.Trees, thresholds: dict[str, float]) -> tu
         return [], []
     order = lambda s: (KINDS.index(s[0]), s[1], s[2])
     base = sorted(base_spans(text), key=order)
-    taken = [(b, e) for _, b, e in base]
-    proposed = [c for c in dict.fromkeys(candidates(text)) if not any(b < c[2] and c[1] < e for b, e in taken)]
+    free = np.ones(len(text), bool)
+    for _, b, e in base:
+        free[b:e] = False
+    proposed = [c for c in dict.fromkeys(candidates(text)) if free[c[1] : c[2]].all()]
     added: list[tuple[str, int, int]] = []
     if proposed:
         p = trees.probability(np.array([features(text, *c) for c in proposed]))
-        free = np.ones(len(text), bool)
         for k in np.argsort(-p, kind="stable").tolist():
             kind, b, e = proposed[k]
             if p[k] >= thresholds[kind] and free[b:e].all():
@@ -255,7 +256,7 @@ def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
         as_rows = lambda spans: [{"kind": k, "begin": b, "end": e} for k, b, e in spans]
         return [as_rows(f[0]) for f in found], [as_rows(f[1]) for f in found]
 
-    return _mapped(df, text, [("base_spans", kind, arrow), ("spans", kind, arrow)], make)
+    return mapped(df, text, [("base_spans", kind, arrow), ("spans", kind, arrow)], make)
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
@@ -275,7 +276,7 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
         return "".join(out) + t[at:] if out else t
 
     fields = df.columns
-    return _mapped(df, text, [("__clean", "string", pa.string())], lambda texts: ([clean(t) for t in texts],)).withColumn(text, F.col("__clean")).select(*fields)
+    return mapped(df, text, [("__clean", "string", pa.string())], lambda texts: ([clean(t) for t in texts],)).withColumn(text, F.col("__clean")).select(*fields)
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gbt
-from .bpe_codec import _mapped
-from .common import spread, table
+from .bpe_codec import mapped
+from .common import in_arrow, spread, table
 from .labelled import MAX_LABELLED, fold, label_sample, labelled_documents
-from .text_statistics import statistics
+from .text_statistics import NAMES, statistics
 
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.5
 
@@ -33,10 +33,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "quality", mos
             x = statistics(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64())), batch.column(2)], ["doc_id", "x", "label"])
 
-    rows = spread(labelled_documents(docs, sample)).mapInArrow(run, "doc_id bigint, x array<double>, label int").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    x = np.stack(rows["x"].tolist()) if len(rows) else np.zeros((0, statistics([]).shape[1]))
-    return gbt.fit(x, rows["label"].to_numpy(float))
+    rows = in_arrow(labelled_documents(spread(docs), sample), run, "doc_id bigint, x array<double>, label int").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["x"]))
+    x = np.array([r["x"] for r in rows], float).reshape(len(rows), len(NAMES))
+    return gbt.fit(x, np.array([r["label"] for r in rows], float))
 
 
 def score(docs: DataFrame, trees: gbt.Trees, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -47,7 +47,7 @@ def score(docs: DataFrame, trees: gbt.Trees, text: str = "text", threshold: floa
         p = sent.value.probability(statistics(texts))
         return p, (p >= threshold).astype(np.int32)
 
-    return _mapped(docs, text, [("score", "double", pa.float64()), ("predicted", "int", pa.int32())], make)
+    return mapped(docs, text, [("score", "double", pa.float64()), ("predicted", "int", pa.int32())], make)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import spread, table, worker_cache
-from .bpe_codec import _mapped
+from .bpe_codec import mapped
 from .merge_tables import MergeTable
+from .unicode_gap import NEWER, lowered
 
 # Character classes, and states of the splitter.
 SPACE, LETTER, NUMBER, OTHER, SHORT, LONG = range(6)  # SHORT, LONG: an apostrophe before s t m d, or re ve ll
@@ -62,6 +63,8 @@ def class_table() -> np.ndarray:
     for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (f"[{WHITE}]+", SPACE)):
         for m in regex.finditer(pattern, text):
             out[at[m.start() : m.end()]] = kind
+    for first, last in NEWER:
+        out[first : last + 1] = OTHER
     return out
 
 
@@ -158,8 +161,7 @@ class Counter:
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
-            text = text.replace("Σ", "σ")  # one character at a time: no final form
-        return text.lower()
+        return lowered(text)
 
     def bounds(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and end of every word in an array of code points that ends with a space."""
@@ -245,7 +247,7 @@ def counter(path: str) -> Counter:
 
 def count_tokens(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """df plus `n_tokens`; one narrow stage, no shuffle."""
-    return _mapped(df, text, [("n_tokens", "bigint", pa.int64())], lambda texts: (counter(tokenizer).count(texts),))
+    return mapped(df, text, [("n_tokens", "bigint", pa.int64())], lambda texts: (counter(tokenizer).count(texts),), ("token counter", tokenizer))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str, limit: int = 2048) -> DataFrame:

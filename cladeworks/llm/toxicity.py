@@ -9,11 +9,12 @@ entirely, and the shared part cancels in the comparison.
 
 A document's toxic and ordinary log-likelihoods are compared word by word and normalised by its number of words:
 mean difference, mean excess over two margins, share and number of words beyond two margins, the largest
-difference, length. A logistic calibration turns these into a score. It is fitted on documents scored by models of
+difference. A logistic calibration turns these into a score. It is fitted on documents scored by models of
 the other half of the labelled sample, so no document is judged by counts of itself.
 
-The labelled sample is bounded (labelled.MAX_LABELLED) and leaves out the held-out fold; what is gathered from the
-corpus is not. Lower orders are kept for contexts that the sample has, so the model is bounded by the sample.
+The labelled sample is bounded (labelled.MAX_LABELLED rows, MAX_BYTES of texts) and leaves out the held-out fold; what is
+gathered from the corpus is not: counts of all lower orders are of all expressions in all documents, and grow with
+them. Only the probabilities of the sample's own n-grams are looked up in them, so the model is bounded by the sample.
 
 Edge cases: null and empty texts, and texts without words, are scored like a text of no evidence; without labels of
 both kinds every score is the prior; repeated rows get equal scores; added columns replace those of the input.
@@ -25,11 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe_codec import _mapped
-from .common import spread, table
+from .bpe_codec import mapped
+from ..plans.shared import kept
+from .common import in_arrow, spread, table
 from .labelled import MAX_LABELLED, fold, label_sample, labelled_documents
 from .words import ALNUM
 
@@ -37,7 +39,9 @@ ORDER, DISCOUNT = 6, 0.75
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 #: Bytes of text that are turned into n-grams at once, and distinct n-grams that a task holds before sending them.
 PIECE, MOST_HELD = 1 << 20, 1 << 20
-FEATURES = 9
+FEATURES = 8
+#: Bytes of the sample's texts, and so its n-grams at most.
+MAX_BYTES = 16 << 20
 _BYTE = np.uint64(8)
 
 
@@ -85,20 +89,6 @@ def _lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, keys[at] == wanted
 
 
-def shared_probability(keys: np.ndarray, counts: np.ndarray, order: int = ORDER - 1) -> np.ndarray:
-    """Interpolated Kneser-Ney probability of the last symbol of each n-gram of `order`, from continuation counts."""
-    lower = keys & np.uint64((1 << 8 * (order - 1)) - 1) if order > 1 else None
-    context = keys >> _BYTE
-    _, c = np.unique(context, return_inverse=True)
-    total, types = np.bincount(c, counts), np.bincount(c)
-    if order == 1:
-        below = np.full(len(keys), 1 / 256)
-    else:
-        next_keys, inverse, next_counts = np.unique(lower, return_inverse=True, return_counts=True)
-        below = shared_probability(next_keys, next_counts, order - 1)[inverse]
-    return np.maximum(counts - DISCOUNT, 0) / total[c] + DISCOUNT * types[c] / total[c] * below
-
-
 @dataclass
 class Ratio:
     """Log of toxic over ordinary probability: by n-gram, else by context, else 0."""
@@ -145,7 +135,7 @@ def evidence(texts: list[str | None], model: Ratio) -> np.ndarray:
         words += np.bincount(owner, minlength=n)
         np.maximum.at(most, owner, x)
     most[words == 0] = 0
-    return np.column_stack([sums / np.maximum(words, 1)[:, None], sums[:, 3:], most, np.log1p(words)])
+    return np.column_stack([sums / np.maximum(words, 1)[:, None], sums[:, 3:], most])
 
 
 @dataclass
@@ -189,55 +179,92 @@ def _class_counts(rows: DataFrame) -> DataFrame:
                         [pa.array(keys.astype(np.int64)), pa.array(np.full(len(keys), g, np.int32)), pa.array(counts)], ["gram", "part", "n"]
                     )
 
-    return rows.mapInArrow(run, "gram bigint, part int, n bigint").groupBy("gram").pivot("part", [0, 1, 2, 3]).agg(F.sum("n"))
+    return in_arrow(rows, run, "gram bigint, part int, n bigint").groupBy("gram").pivot("part", [0, 1, 2, 3]).agg(F.sum("n"))
 
 
-def _continuations(docs: DataFrame, contexts: np.ndarray) -> DataFrame:
-    """(expression, n): in how many contexts each lower-order expression occurs, over all documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(contexts)
-    mask = np.uint64((1 << 8 * (ORDER - 1)) - 1)
+def continuations(docs: DataFrame) -> list[DataFrame]:
+    """Of orders 1 to ORDER - 1, (expression, n): in how many contexts each expression occurs, over all documents.
+
+    A task sends each n-gram once for every MOST_HELD distinct ones it meets; all else are counts by key.
+    """
 
     def run(batches):
         held: list[np.ndarray] = []
         size = 0
-
-        def distinct():
-            keys = np.unique(np.concatenate(held))
-            return keys
-
+        rows = lambda x: pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64))], ["gram"])
         for batch in batches:
             for owners, parts in pieces(batch.column(0).to_pylist()):
-                found = np.unique(grams(owners, parts)[0])
-                found = found[_lookup(sent.value, (found & mask) >> _BYTE)[1]]
-                held.append(found)
-                size += len(found)
+                held.append(np.unique(grams(owners, parts)[0]))
+                size += len(held[-1])
                 if size > 2 * MOST_HELD:
-                    held = [distinct()]
+                    held = [np.unique(np.concatenate(held))]
                     if (size := len(held[0])) > MOST_HELD:
-                        yield pa.RecordBatch.from_arrays([pa.array(held[0].astype(np.int64))], ["gram"])
+                        yield rows(held[0])
                         held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(distinct().astype(np.int64))], ["gram"])
+            yield rows(np.unique(np.concatenate(held)))
+
+    whole = in_arrow(docs.select("text"), run, "gram bigint").distinct()
+    orders = [kept(_shorter(whole.withColumnRenamed("gram", "expression"), ORDER - 1), "continuations")]
+    for order in range(ORDER - 2, 0, -1):  # an expression's contexts are the expressions of one symbol more that end in it
+        orders.append(_shorter(orders[-1], order))
+    return orders[::-1]
+
 
-    found = docs.select("text").mapInArrow(run, "gram bigint").distinct()
-    return found.groupBy(F.col("gram").bitwiseAND(F.lit(int(mask))).alias("expression")).agg(F.count("*").alias("n"))
+def _last(expression: str, order: int) -> Column:
+    """The last `order` symbols."""
+    return F.col(expression).bitwiseAND(F.lit((1 << 8 * order) - 1))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", most: int = MAX_LABELLED) -> Toxicity:
-    """Class models and calibration from labelled documents outside the held-out fold, backoff from all documents."""
+def _shorter(expressions: DataFrame, order: int) -> DataFrame:
+    return expressions.groupBy(_last("expression", order).alias("expression")).agg(F.count("*").alias("n"))
+
+
+def shared_probabilities(wanted: DataFrame, orders: list[DataFrame]) -> DataFrame:
+    """(expression, shared): interpolated Kneser-Ney probability of the last symbol of each wanted expression.
+
+    wanted: expression, of the highest of the orders (see continuations). Only what is wanted is joined, order by order.
+    """
+    below = None
+    for order, counts in enumerate(orders, 1):
+        need = wanted.select(_last("expression", order).alias("expression")).distinct()
+        contexts = counts.groupBy(F.shiftright("expression", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+        rows = need.join(counts, "expression").withColumn("context", F.shiftright("expression", 8)).join(contexts, "context")
+        if below is None:
+            rows = rows.withColumn("below", F.lit(1 / 256))
+        else:
+            lower = below.select(F.col("expression").alias("lower"), F.col("shared").alias("below"))
+            rows = rows.withColumn("lower", _last("expression", order - 1)).join(lower, "lower")
+        shared = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("types") * F.col("below")) / F.col("total")
+        below = rows.select("expression", shared.alias("shared"))
+    return below
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", most: int = MAX_LABELLED, most_bytes: int = MAX_BYTES) -> Toxicity:
+    """Class models and calibration from labelled documents outside the held-out fold, backoff from all documents.
+
+    The driver and each worker hold the distinct n-grams of the sample, so no more than most_bytes of them.
+    """
     sample = label_sample(labels, column, FOLDS, HELD_OUT, most)
-    rows = spread(labelled_documents(docs, sample)).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
-    counted = _class_counts(rows).fillna(0).toPandas().sort_values("gram")
-    keys, counts = counted["gram"].to_numpy().astype(np.uint64), counted[["0", "1", "2", "3"]].to_numpy().astype(np.int64)
-    prior = float((sample["label"].sum() + 0.5) / (len(sample) + 1))
+    positive = sum(label for _, label in sample)
+    prior = (positive + 0.5) / (len(sample) + 1)
     nothing = Toxicity(Ratio(*(np.zeros(0, t) for t in (np.uint64, np.float32, np.uint64, np.float32))), *[np.zeros(0)] * 3, prior)
-    if not len(keys) or not 0 < sample["label"].sum() < len(sample):
+    if not 0 < positive < len(sample):
+        return nothing
+    rows = labelled_documents(spread(docs), sample, most_bytes).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
+    rows = kept(rows, "labelled")
+    counted = kept(_class_counts(rows).fillna(0), "counts")
+    wanted = counted.select(_last("gram", ORDER - 1).alias("expression")).distinct()
+    shared_ = shared_probabilities(wanted, continuations(spread(docs.select("text"))))
+    table_ = counted.withColumn("expression", _last("gram", ORDER - 1)).join(shared_, "expression")
+    found = table_.select("gram", *(F.col(str(k)).cast("int").alias(f"n{k}") for k in range(4)), "shared").toArrow()
+    keys = found["gram"].to_numpy().astype(np.uint64)
+    order = np.argsort(keys)
+    keys, shared = keys[order], found["shared"].to_numpy()[order]
+    n = [found[f"n{k}"].to_numpy()[order] for k in range(4)]
+    if not len(keys) or not (n[0] + n[1]).any() or not (n[2] + n[3]).any():
         return nothing
-    mask = np.uint64((1 << 8 * (ORDER - 1)) - 1)
-    lower = _continuations(spread(docs.select("text")), np.unique((keys & mask) >> _BYTE)).toPandas().sort_values("expression")
-    expression, n = lower["expression"].to_numpy().astype(np.uint64), lower["n"].to_numpy()
-    shared = shared_probability(expression, n)[_lookup(expression, keys & mask)[0]]
-    models = [ratio(keys, counts[:, 2 + h], counts[:, h], shared) for h in (0, 1)]
+    models = [ratio(keys, n[2 + h], n[h], shared) for h in (0, 1)]
     sent = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
@@ -247,12 +274,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", most
             x = np.where((half == 0)[:, None], *both)
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(2)], ["x", "label"])
 
-    held = rows.mapInArrow(run, "x array<double>, label int").toPandas()
-    x, y = np.stack(held["x"].tolist()), held["label"].to_numpy(float)
+    held = in_arrow(rows, run, "x array<double>, label int").collect()
+    sent.destroy()
+    x, y = np.array([r["x"] for r in held], float), np.array([r["label"] for r in held], float)
     order = np.lexsort((*x.T, y))  # row order must not matter
     x, y = x[order], y[order]
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    model = ratio(keys, counts[:, 2:].sum(axis=1), counts[:, :2].sum(axis=1), shared)
+    model = ratio(keys, n[2] + n[3], n[0] + n[1], shared)
     return Toxicity(model, mean, scale, logistic((x - mean) / scale, y), prior)
 
 
@@ -264,7 +292,7 @@ def score_toxicity(docs: DataFrame, fitted: Toxicity, text: str = "text", thresh
         p = sent.value.score(texts)
         return p, (p >= threshold).astype(np.int32)
 
-    return _mapped(docs, text, [("score", "double", pa.float64()), ("predicted", "int", pa.int32())], make)
+    return mapped(docs, text, [("score", "double", pa.float64()), ("predicted", "int", pa.int32())], make)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cladeworks.llm import bpe_codec, chat_format, decontaminate, near_duplicates, personal_data, quality_rules, repeated_passages, token_counts
+from cladeworks.llm.unicode_gap import LOWER, NEWER
 from cladeworks.llm.vocabularies import path
 from cladeworks.llm.words import SOLID, Words
 
@@ -79,6 +80,28 @@ def test_token_counts_are_the_library_s():
     assert own.count(texts) == [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
 
 
+def test_every_code_point_is_split_and_lower_cased_as_the_library_does():
+    points = [c for c in range(0x80, 0x110000, 1) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or c % 61 == 0 or any(a - 2 <= c <= b + 2 for a, b in NEWER) or c in LOWER)]
+    texts = [f"a{chr(c)}b !{chr(c)}! 1{chr(c)}1 {chr(c)}{chr(c)}'s" for c in points]
+    library, own = tokenizers.Tokenizer.from_file(path("word_bpe_49k.json")), token_counts.Counter(path("word_bpe_49k.json"))
+    assert own.count(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    library, own = tokenizers.Tokenizer.from_file(path("byte_bpe_50k.json")), bpe_codec.Codec(path("byte_bpe_50k.json"))
+    assert [np.frombuffer(own.encode(t), "<u4").tolist() for t in texts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_queries_of_tokens_are_the_library_s(spark):
+    library, docs = tokenizers.Tokenizer.from_file(path("word_bpe_49k.json")), dict(documents())
+    for r in token_counts.op3_token_counts(spark, SF).collect():
+        text = docs[r["doc_id"]] or ""
+        n = len(library.encode(text, add_special_tokens=False).ids)
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(text.encode()), n, n > 2048)
+    library = tokenizers.Tokenizer.from_file(path("byte_bpe_50k.json"))
+    for r in bpe_codec.op4_bpe_codec(spark, SF).collect():
+        ids = library.encode(docs[r["doc_id"]] or "", add_special_tokens=False).ids
+        packed, decoded = np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+
+
 def test_prefix_scan_composes_in_order():
     rng = np.random.default_rng(2)
     maps = rng.integers(0, 5, (37, 5))
