@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; a folder of this machine only where none is set (tests)."""
+    """A new folder below spark.checkpoint.dir. A folder of this machine only where none is set and all runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "cladeworks-checkpoints")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -37,4 +40,28 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage and survives a lost executor."""
     path = f"{shared_folder(df.sparkSession)}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cladeworks_path = path
+    _FOLDERS.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    return out
+
+
+def remove(df: DataFrame) -> None:
+    """Delete what `kept` wrote for a frame that nothing reads any more."""
+    if path := getattr(df, "_cladeworks_path", None):
+        _delete(df.sparkSession, path)
+
+
+def remove_all(spark: SparkSession) -> None:
+    """Delete all that `kept` wrote in this application, once the results that read it are written."""
+    for path in _FOLDERS.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
+_FOLDERS: dict[str, list[str]] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path).getParent()
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
