@@ -3,24 +3,29 @@
 A text is a weighted set: its runs of five words (0-9, a-z with A-Z lower-cased, characters beyond ASCII), weighted
 by how often they occur; a text of fewer words is one run. Two texts are linked if their probability Jaccard
 similarity, sum over common i of 1 / sum over j of max(x_j / x_i, y_j / y_i), is 0.8 or more; for runs that do not
-repeat this is the plain Jaccard similarity. A class is a connected component of links and exact copies, named by
-its least doc_id.
+repeat this is the plain Jaccard similarity. A class is a connected component of links and exact copies.
 
 1. Signatures: every weighted run is a Poisson process whose arrivals fall on random registers; a register keeps the
    run that arrives first, and a run stops once its next arrival is later than every register of its text.
-2. Exact copies collapse by digest, pre-aggregated, so copies cost one row from here on.
-3. Bands of registers give buckets. Buckets are read in sorted ranges that may split a bucket, and link each member
-   to the first of its range, ranges of a bucket to each other: never all pairs of a bucket.
-4. The components of these links are candidate groups. A group of many texts is cut into blocks, and each pair of
-   blocks is one task: registers filter the pairs, exact similarity verifies those that would join two components.
-   A task returns a spanning forest of its links, and components of these are the classes.
+2. Exact copies collapse by digest, pre-aggregated, so copies cost one row from here on; that row has a number.
+3. Bands of registers give buckets. Buckets are read in sorted ranges that may split a bucket. A member's candidate is
+   the first of a bucket (of its part of it); of its up to BANDS candidates the one whose registers agree best is
+   verified on the exact sets. The components of these links are what most buckets consist of entirely.
+4. What is left are buckets with members of several components. Only their members of different components are
+   compared: those of the bucket's largest component with the others, and the others among themselves, in blocks. First
+   registers alone say who has a candidate at all; then such members meet with their sets, and each pair that would
+   join two components is verified. So every pair that shares a bucket is linked, verified or already in one component.
 
-A link is missed only if the texts share no band (below 4e-6 at similarity 0.8) or if registers underestimate by 0.2
-(six standard deviations).
+A link is missed only if the texts share no band (below 4e-6 at similarity 0.8) or if registers underestimate by 0.15
+(4.7 standard deviations at 0.8, below 2e-6).
+
+A class is named by its least doc_id. Rows of one doc_id with different texts are different documents: such a doc_id
+names no class that has another, and a class of only such doc_ids is named by a negative hash of its texts.
 
 Edge cases: texts without words are linked to exact copies only; a null text is a class of its own; rows of equal
-doc_id and text are one document; a null doc_id can only be an exact copy; an empty table gives an empty result;
-other columns are ignored and returned as they are, `class_id` is replaced.
+doc_id and text are one document; a text without doc_id can only be an exact copy; an empty table gives an empty result;
+other columns are ignored and returned as they are, `class_id` is replaced. A very long text is one row of work: its set
+is held by one task at a time.
 """
 
 from __future__ import annotations
@@ -31,17 +36,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..plans.shared import kept
-from .common import spread, table
+from ..operators.skew import split_join
+from ..plans.shared import kept, remove
+from .common import in_arrow, spread, table
 from .words import Words, mix, runs
 
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 5, 32
 REGISTERS = ROWS * BANDS
 #: Pairs whose registers agree less are not verified.
-LEAST_AGREEMENT = 0.6
-#: Texts in a block of a large candidate group, and salts for classes of many exact copies.
-BLOCK, SALTS = 400, 16
+LEAST_AGREEMENT = 0.65
+#: Texts in a block of a bucket: of its largest component, and of the others. Salts for classes of many exact copies.
+MAIN_BLOCK, BLOCK, SALTS = 4000, 400, 16
 
 
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,158 +121,289 @@ def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                 ["doc_id", "copy_key", "bands", "registers"],
             )
 
-    return rows.mapInArrow(run, "doc_id bigint, copy_key binary, bands array<bigint>, registers binary")
+    return in_arrow(rows, run, "doc_id bigint, copy_key binary, bands array<bigint>, registers binary")
+
+
+def _batch(names: list[str], kinds: list, *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def band_links(classes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect the members of every bucket, without all pairs."""
-    # a range may begin or end within a bucket: its least member is also told by bucket
-    rows = classes.select("rep", F.explode("bands").alias("bucket")).repartitionByRange("bucket", "rep").sortWithinPartitions("bucket", "rep")
+def firsts(buckets: DataFrame) -> DataFrame:
+    """(a, b): members of buckets (bucket, node) and the first of the bucket, or of the part of it that a range holds."""
+    # a range may begin or end within a bucket: its first member there is also told by bucket
+    rows = buckets.repartitionByRange("bucket", "node").sortWithinPartitions("bucket", "node")
+    out = lambda a, b, bucket: _batch(["a", "b", "bucket"], [pa.int64()] * 3, a, b, bucket)
 
     def run(batches):
         last, leader, opening = None, None, None
         for batch in batches:
-            rep, bucket = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(rep):
+            bucket, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(node):
                 continue
-            new = np.ones(len(rep), bool)
+            new = np.ones(len(node), bool)
             new[1:] = bucket[1:] != bucket[:-1]
             new[0] = bucket[0] != last
             starts = np.flatnonzero(new)
-            at = np.searchsorted(starts, np.arange(len(rep)), side="right") - 1
-            leaders = np.append(rep[starts], leader if leader is not None else 0)[at]
+            at = np.searchsorted(starts, np.arange(len(node)), side="right") - 1
+            leaders = np.append(node[starts], leader if leader is not None else 0)[at]
             if opening is None:
-                opening = (int(bucket[0]), int(rep[0]))
-                yield _links([opening[1]], [None], [opening[0]])
+                opening = (int(bucket[0]), int(node[0]))
+                yield out([opening[1]], [None], [opening[0]])
             last, leader = int(bucket[-1]), int(leaders[-1])
-            other = leaders != rep
-            yield _links(rep[other], leaders[other], [None] * int(other.sum()))
+            other = leaders != node
+            yield out(node[other], leaders[other], [None] * int(other.sum()))
         if last is not None and last != opening[0]:
-            yield _links([leader], [None], [last])
+            yield out([leader], [None], [last])
 
-    links = kept(rows.mapInArrow(run, "a bigint, b bigint, bucket bigint").distinct(), "bands")
-    edges = links.filter("bucket is null").select("a", "b")
+    links = kept(in_arrow(rows, run, "a bigint, b bigint, bucket bigint").distinct(), "firsts")
+    inside = links.filter("bucket is null").select("a", "b")
     split = links.filter("bucket is not null").select("a", "bucket")
     first = split.groupBy("bucket").agg(F.min("a").alias("b"))
-    return edges.unionByName(split.join(first, "bucket").filter("a <> b").select("a", "b")).distinct()
+    return inside.unionByName(split.join(first, "bucket").filter("a <> b").select("a", "b")).distinct()
+
+
+def agreement(pairs: DataFrame) -> DataFrame:
+    """(a, b, agree): the share of equal registers; pairs: a, b, x, y (registers)."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.array([np.frombuffer(v, "<u2") for v in batch.column(i).to_pylist()]).reshape(batch.num_rows, REGISTERS) for i in (2, 3))
+            share = (x == y).mean(axis=1) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share, pa.float64())], ["a", "b", "agree"])
+
+    return in_arrow(pairs.select("a", "b", "x", "y"), run, "a bigint, b bigint, agree double")
 
 
-def _links(a, b, bucket) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, bucket)], ["a", "b", "bucket"])
+def packed_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, runs): the runs of five words of each class's text, sorted; docs: doc_id, copy_key, text."""
+    texts = docs.join(classes.select("node", F.col("rep").alias("doc_id"), "copy_key"), ["doc_id", "copy_key"]).select("node", "text")
+
+    def run(batches):
+        seen = set()  # a repeated row has the same number, and is in the same task
+        for batch in batches:
+            nodes = batch.column(0).to_pylist()
+            fresh = [i for i, n in enumerate(nodes) if not (n in seen or seen.add(n))]
+            batch = batch.take(pa.array(fresh, pa.int64()))
+            owner, run_, weight = shingles(batch.column(1).to_pylist())
+            whole = np.repeat(run_, weight).astype("<u8")
+            cuts = np.searchsorted(np.repeat(owner, weight), np.arange(batch.num_rows + 1))
+            yield _batch(["node", "runs"], [pa.int64(), pa.binary()], batch.column(0), [whole[a:b].tobytes() for a, b in zip(cuts, cuts[1:])])
+
+    return in_arrow(texts, run, "node bigint, runs binary")
 
 
-def verified_links(rows: list[tuple[int, int, bytes, bytes]], one: int, two: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between block `one` and block `two` of a group; rows: rep, block, registers, runs."""
-    n = len(rows)
-    registers = np.stack([np.frombuffer(r[2], "<u2") for r in rows])
-    block = np.array([r[1] for r in rows])
-    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
-    pairs = []
-    for i in left.tolist():
-        others = right if one != two else right[right > i]
-        agree = (registers[others] == registers[i]).mean(axis=1)
-        good = agree >= LEAST_AGREEMENT
-        pairs += zip((-agree[good]).tolist(), [i] * int(good.sum()), others[good].tolist())
-    pairs.sort()
-    parent, sets, out = list(range(n)), {}, []
+def weighted(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.frombuffer(packed, "<u8"), return_counts=True)
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of a written table of pairs (a, b), those that are linked. A first of very many is split over tasks."""
+    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("runs").alias("x")), "a")
+    both = split_join(one, sets.select(F.col("node").alias("b"), F.col("runs").alias("y")), "b", "a", counted=pairs)
+
+    def run(batches):
+        for batch in batches:
+            good = [similarity(weighted(x), weighted(y)) >= SIMILARITY for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return in_arrow(both.select("a", "b", "x", "y"), run, "a bigint, b bigint")
+
+
+def mixed(buckets: DataFrame, components: DataFrame) -> DataFrame:
+    """(bucket, node, component, is_main, mains, others) of the members of buckets with several components.
+
+    is_main: of the bucket's largest component; mains, others: blocks of these and of the rest.
+    """
+    rows = buckets.join(components, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    rows = kept(rows, "members")
+    several = rows.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
+    rows = kept(split_join(rows, several, "bucket", "node"), "mixed")
+    counts = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    of = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
+    blocks = lambda n, size: F.ceil(n / size).cast("int")
+    of = of.select("bucket", F.col("main.component").alias("main"), blocks(F.col("main.n"), MAIN_BLOCK).alias("mains"), blocks(F.col("all") - F.col("main.n"), BLOCK).alias("others"))
+    out = split_join(rows, of, "bucket", "node")
+    return out.select("bucket", "node", "component", (F.col("component") == F.col("main")).alias("is_main"), "mains", "others")
+
+
+def blocked(rows: DataFrame) -> DataFrame:
+    """rows of `mixed` dealt to tasks (bucket, one, two): a main block one < 0 or another block, with another block two.
+
+    Members of the largest component never meet each other; a row goes to a task for each block that it has to meet.
+    """
+    mine = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
+    task = lambda one, two: F.struct(one.cast("int").alias("one"), two.cast("int").alias("two"))
+    others = F.sequence(F.lit(0), F.col("others") - 1)
+    of_main = F.transform(others, lambda j: task(-1 - F.col("mine"), j))
+    with_main = F.transform(F.sequence(F.lit(1), F.col("mains")), lambda i: task(-i, F.col("mine")))
+    with_others = F.transform(others, lambda j: task(F.least("mine", j), F.greatest("mine", j)))
+    dealt = rows.withColumn("mine", mine).withColumn("task", F.explode(F.when(F.col("is_main"), of_main).otherwise(F.concat(with_main, with_others))))
+    first = F.when(F.col("is_main"), F.lit(True)).otherwise((F.col("task.one") >= 0) & (F.col("mine") == F.col("task.one")))
+    dealt = dealt.withColumn("side", first).select("*", "task.one", "task.two").drop("task", "mine", "mains", "others", "is_main")
+    return dealt.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two", "node")
+
+
+def _tasks(batches, keys: int, work):
+    """work(key, rows) for each run of rows with equal first `keys` columns; rows hold the other columns."""
+    key, rows = None, []
+    for batch in batches:
+        done = []
+        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+            if row[:keys] != key:
+                if len(rows) > 1:
+                    done += work(key, rows)
+                key, rows = row[:keys], []
+            rows.append(row[keys:])
+        yield done
+    yield work(key, rows) if len(rows) > 1 else []
+
+
+def candidate_pairs(key: tuple, rows: list[tuple]) -> list[tuple[int, int, float]]:
+    """Places (i, j) of rows of different components whose registers agree, best first.
+
+    rows: node, component, side, registers, ...; a task of two blocks compares them, a task of one block its rows.
+    """
+    registers = np.array([np.frombuffer(r[3], "<u2") for r in rows])
+    component, side = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    two = key[1] != key[2]
+    right = np.flatnonzero(~side) if two else np.arange(len(rows))
+    found = []
+    for i in (np.flatnonzero(side) if two else right).tolist():
+        others = right if two else right[right > i]
+        others = others[component[others] != component[i]]
+        if len(others):
+            agree = (registers[others] == registers[i]).mean(axis=1)
+            found += [(i, j, x) for j, x in zip(others.tolist(), agree.tolist()) if x >= LEAST_AGREEMENT]
+    return sorted(found, key=lambda f: (-f[2], f[0], f[1]))
+
+
+def linking(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+    """A spanning forest, over components, of the links of a task; rows as for candidate_pairs, then runs."""
+    parent, sets, out = {}, {}, []
 
     def find(x):
-        while parent[x] != x:
+        while parent.setdefault(x, x) != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    def weighted(i):
+    def of(i):
         if i not in sets:
-            sets[i] = np.unique(np.frombuffer(rows[i][3], "<u4"), return_counts=True)
+            sets[i] = weighted(rows[i][4])
         return sets[i]
 
-    for _, i, j in pairs:
-        if (p := find(i)) != (q := find(j)) and similarity(weighted(i), weighted(j)) >= SIMILARITY:
+    for i, j, _ in candidate_pairs(key, rows):
+        if (p := find(rows[i][1])) != (q := find(rows[j][1])) and similarity(of(i), of(j)) >= SIMILARITY:
             parent[p] = q
             out.append((rows[i][0], rows[j][0]))
     return out
 
 
-def group_links(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Verified links (a, b) within candidate groups; docs: doc_id, text."""
-    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    members = groups.join(sizes, "component").select(
-        F.col("node").alias("rep"), "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
-    )
-    members = members.join(classes.select("rep", "registers", "copy_key"), "rep")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("copy_key"))
-    texts = members.join(texts, ["rep", "copy_key"])
-
-    def run(batches):
-        for batch in batches:
-            owner, run_, weight = shingles(batch.column(batch.num_columns - 1).to_pylist())
-            low = np.repeat((run_ >> np.uint64(32)).astype("<u4"), weight)
-            cuts = np.searchsorted(np.repeat(owner, weight), np.arange(batch.num_rows + 1))
-            packed = [low[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(packed, pa.binary())], [*names, "runs"])
-
-    names = ["rep", "component", "blocks", "block", "registers"]
-    packed = texts.select(*names, "text").mapInArrow(run, "rep bigint, component bigint, blocks int, block int, registers binary, runs binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = packed.select("rep", "component", "block", "registers", "runs", other)
-    tasks = tasks.select("component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "rep", "block", "registers", "runs")
-    tasks = tasks.repartition("component", "one", "two").sortWithinPartitions("component", "one", "two", "rep")
-
-    def verify(batches):
-        key, rows = None, []
-        for batch in batches:
-            found = []
-            for component, one, two, rep, *rest in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-                if (component, one, two) != key:
-                    if len(rows) > 1:
-                        found += verified_links(rows, key[1], key[2])
-                    key, rows = (component, one, two), []
-                if not rows or rows[-1][0] != rep:  # a repeated row adds nothing
-                    rows.append((rep, *rest))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
-        if len(rows) > 1:
-            found = verified_links(rows, key[1], key[2])
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
-
-    return tasks.mapInArrow(verify, "a bigint, b bigint")
+def rest_of_links(rows: DataFrame, registers: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components, within the buckets of `mixed`; registers: node, registers; sets: node, runs."""
+    names = ["bucket", "one", "two", "node", "component", "side", "registers"]
+
+    def some(batches):  # who has a candidate at all
+        work = lambda key, r: [(key[0], r[i][0]) for i in {k for i, j, _ in candidate_pairs(key, r) for k in (i, j)}]
+        for found in _tasks(batches, 3, work):
+            yield _batch(["bucket", "node"], [pa.int64()] * 2, *([f[k] for f in found] for k in (0, 1)))
+
+    dealt = blocked(rows.join(registers, "node"))
+    asked = kept(in_arrow(dealt.select(*names), some, "bucket bigint, node bigint").distinct(), "asked")
+    left = rows.join(asked, ["bucket", "node"], "left_semi")
+    # a pair with both ends here; blocks are of those who are left
+    n = left.groupBy("bucket").agg(F.count_if("is_main").alias("m"), F.count_if(~F.col("is_main")).alias("o"))
+    left = left.drop("mains", "others").join(n, "bucket").filter("o > 0")
+    blocks = lambda c: F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int")
+    left = left.withColumn("mains", blocks("m")).withColumn("others", blocks("o")).drop("m", "o")
+
+    def join(batches):
+        for found in _tasks(batches, 3, linking):
+            yield _batch(["a", "b"], [pa.int64()] * 2, *([f[k] for f in found] for k in (0, 1)))
+
+    whole = left.join(registers, "node").join(sets, "node")
+    return in_arrow(blocked(whole).select(*names, "runs"), join, "a bigint, b bigint").distinct()
+
+
+def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, component) of every class that is linked to another; docs: doc_id, copy_key, text."""
+    buckets = classes.select(F.explode("bands").alias("bucket"), "node")
+    pairs = kept(firsts(buckets), "pairs")
+    in_pairs = kept(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
+    registers = kept(classes.select("node", "registers").join(in_pairs, "node", "left_semi"), "registers")
+    one = pairs.join(registers.select(F.col("node").alias("a"), F.col("registers").alias("x")), "a")
+    both = split_join(one, registers.select(F.col("node").alias("b"), F.col("registers").alias("y")), "b", "a", counted=pairs)
+    best = agreement(both).filter(F.col("agree") >= LEAST_AGREEMENT).groupBy("a").agg(F.max(F.struct("agree", "b")).alias("m"))
+    best = kept(best.select("a", "m.b"), "best")
+    sets = kept(packed_sets(docs, classes.join(in_pairs, "node", "left_semi")), "sets")
+    links = kept(verified(best, sets), "links")
+    components = kept(connected_components(links), "components")
+    shared = buckets.join(in_pairs, "node", "left_semi")
+    more = rest_of_links(kept(mixed(shared, components), "rows"), registers, sets)
+    out = kept(connected_components(links.unionByName(kept(more, "more"))), "components")
+    for frame in (pairs, registers, best, sets, components):
+        remove(frame)
+    return out
 
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs plus class_id."""
     docs = docs.drop("class_id")
-    small = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    signed = sign(spread(small.filter("text is not null")))
+    key = F.unhex(F.md5(F.col(text).cast("binary")))
+    small = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), key.alias("copy_key"), F.col(text).alias("text")).filter("text is not null")
+    signed = sign(spread(small))
     classes = signed.groupBy("copy_key").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("registers").alias("registers")
     )
-    classes = kept(classes, "classes")
-    named = classes.filter("rep is not null")
-    groups = connected_components(band_links(named))
-    joined = connected_components(group_links(small, named, groups))
-    # the classes that are more than one row; others keep their own doc_id
-    found = named.select("copy_key", "rep", "copies").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.filter("copies > 1 or component is not null").select("copy_key", F.coalesce("component", "rep").alias("__class"))
+    # numbers are fixed by writing them
+    classes = kept(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    joined = near_links(small, classes.filter("rep is not null"))
+    # a doc_id with several texts names no class that has another doc_id
+    hashed = small.select("doc_id", F.xxhash64("text").alias("h")).filter("doc_id is not null")
+    several = hashed.groupBy("doc_id").agg(F.min("h").alias("x"), F.max("h").alias("y")).filter("x <> y").select("doc_id")
+    members = classes.select("copy_key", "node", "rep", "copies").join(joined, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    names = kept(_names(members, several, small), "names")
+    found = members.join(names, "group", "left").filter("copies > 1 or component is not null or name is not null")
+    found = found.select("copy_key", F.coalesce("name", "rep").alias("__class"))
     found = found.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("copy_key", "__key")
-    rows = docs.withColumn("__key", F.unhex(F.md5(F.col(text).cast("binary")))).withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(doc_id), F.lit(SALTS)), F.lit(0)).cast("int"))
+    rows = docs.withColumn("__key", key).withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(doc_id), F.lit(SALTS)), F.lit(0)).cast("int"))
     out = rows.join(found, ["__key", "__salt"], "left")
     return out.withColumn("class_id", F.coalesce("__class", F.col(doc_id))).drop("__key", "__salt", "__class")
 
 
+def _names(members: DataFrame, several: DataFrame, docs: DataFrame) -> DataFrame:
+    """(group, name) of the groups of more than one text, and of those that a doc_id of several texts would name."""
+    plain = members.filter("component is not null").groupBy("group").agg(F.min("rep").alias("name"))
+    if several.isEmpty():
+        return plain
+    several = kept(several, "several")
+    texts = docs.join(several, "doc_id", "left_semi").select("copy_key").distinct()
+    touched = kept(members.join(texts, "copy_key", "left_semi").select("group").distinct(), "touched")
+    inside = members.join(touched, "group", "left_semi").select("group", "copy_key")
+    ids = docs.select("doc_id", "copy_key").join(inside, "copy_key").join(several.withColumn("s", F.lit(True)), "doc_id", "left")
+    hashed = -1 - F.pmod(F.min(F.xxhash64("copy_key")), F.lit(1 << 62))
+    own = ids.groupBy("group").agg(F.coalesce(F.min(F.when(F.col("s").isNull(), F.col("doc_id"))), hashed).alias("name"))
+    return plain.join(touched, "group", "left_anti").unionByName(own)
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs plus class_id, only the least doc_id of every class.
+    """docs plus class_id, one row of every class: the row that names it, else that of its least doc_id and text.
 
-    Of rows that repeat a doc_id one stays, as of rows without doc_id that repeat a text; null texts all stay.
+    Of rows that repeat a doc_id and text one stays, as of rows without doc_id that repeat a text; null texts all stay.
     """
     named = near_duplicate_classes(docs, doc_id, text)
-    out = named.filter(F.col(doc_id) == F.col("class_id"))
+    nulls = docs.drop("class_id").filter(F.col(text).isNull()).withColumn("class_id", F.col(doc_id).cast(named.schema["class_id"].dataType))
+    some = named.filter(F.col(text).isNotNull())
     repeated = docs.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).groupBy(doc_id).count().filter("count > 1")
+    out = some.filter(F.col(doc_id) == F.col("class_id"))
     if not repeated.isEmpty():
-        out = out.filter(F.col(text).isNotNull()).dropDuplicates([doc_id]).unionByName(out.filter(F.col(text).isNull()))
-    nameless = named.filter(F.col(doc_id).isNull() & F.col("class_id").isNull())
-    if docs.filter(F.col(doc_id).isNull()).isEmpty():
-        return out
-    return out.unionByName(nameless.filter(F.col(text).isNotNull()).dropDuplicates([text])).unionByName(nameless.filter(F.col(text).isNull()))
+        one = some.filter(F.col(doc_id).isNotNull()).withColumn("__key", F.md5(F.col(text).cast("binary"))).dropDuplicates([doc_id, "__key"])
+        first = one.groupBy("class_id").agg(F.min(F.struct(F.col(doc_id).alias("d"), F.col("__key").alias("k"))).alias("f"))
+        first = first.select(F.col("f.d").alias(doc_id), F.col("f.k").alias("__key"))
+        out = one.join(first, [doc_id, "__key"], "left_semi").drop("__key")
+    if not docs.filter(F.col(doc_id).isNull()).isEmpty():
+        out = out.unionByName(some.filter(F.col(doc_id).isNull() & F.col("class_id").isNull()).dropDuplicates([text]))
+    return out.unionByName(nulls)
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

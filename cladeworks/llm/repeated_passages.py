@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.shared import kept
-from .common import spread, table
+from .common import in_arrow, spread, table
 from .words import Words, mix, runs
 
 PASSAGE, GRAM, WINDOW = 50, 8, 34
@@ -76,7 +76,7 @@ def suffixes(texts: DataFrame) -> DataFrame:
             ids = batch.column(0).to_numpy()[owner]
             yield pa.RecordBatch.from_arrays([pa.array(_keys(w.hashes, at).view(np.int64)), pa.array(ids, pa.int64()), pa.array((at - w.offsets[owner]).astype(np.int32))], ["key", "doc_id", "pos"])
 
-    return texts.mapInArrow(run, "key bigint, doc_id bigint, pos int")
+    return in_arrow(texts, run, "key bigint, doc_id bigint, pos int")
 
 
 def with_equal_neighbour(found: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def with_equal_neighbour(found: DataFrame) -> DataFrame:
         if last is not None:
             yield out(*([v] for v in last[:3]))
 
-    return ranged.mapInArrow(run, "key bigint, doc_id bigint, pos int")
+    return in_arrow(ranged, run, "key bigint, doc_id bigint, pos int")
 
 
 def _window_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -146,7 +146,7 @@ def windows(rows: DataFrame) -> DataFrame:
                 doc = batch.column(0).to_numpy()[at : at + 128][owner]
                 yield pa.RecordBatch.from_arrays([pa.array(_window_hashes(w.hashes)[begin].view(np.int64)), pa.array(doc, pa.int64()), pa.array((begin - w.offsets[owner]).astype(np.int32))], ["window", "doc_id", "begin"])
 
-    return rows.mapInArrow(run, "window bigint, doc_id bigint, begin int")
+    return in_arrow(rows, run, "window bigint, doc_id bigint, begin int")
 
 
 def matches(found: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def matches(found: DataFrame) -> DataFrame:
             keep, sent = ([starts[-1], second[-1]], 2) if second[-1] >= 0 else (slice(starts[-1], None), 0)
             held = [x[keep] for x in (window, doc, begin)]
 
-    return dealt.mapInArrow(run, "doc_id bigint, begin int, other_doc_id bigint, other_begin int")
+    return in_arrow(dealt, run, "doc_id bigint, begin int, other_doc_id bigint, other_begin int")
 
 
 def merged(spans: DataFrame) -> DataFrame:
@@ -225,7 +225,7 @@ def merged(spans: DataFrame) -> DataFrame:
         if docs:
             yield out(docs)
 
-    return dealt.mapInArrow(run, f"doc_id bigint, n_repeated bigint, passages {kind}")
+    return in_arrow(dealt, run, f"doc_id bigint, n_repeated bigint, passages {kind}")
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,7 +238,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             sizes = np.diff(Words(batch.column(2).to_pylist()).offsets)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())], ["doc_id", "copy_key", "n_words"])
 
-    ids = kept(spread(small).mapInArrow(count, "doc_id bigint, copy_key binary, n_words bigint"), "ids")
+    ids = kept(in_arrow(spread(small), count, "doc_id bigint, copy_key binary, n_words bigint"), "ids")
     classes = ids.filter(F.col("n_words") >= PASSAGE).groupBy("copy_key").agg(
         F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("n_words").alias("n_words")
     )

@@ -206,27 +206,97 @@ def test_near_duplicate_classes_are_brute_force(spark):
     assert near_duplicates.near_duplicate_classes(empty(spark)).count() == 0
 
 
-def test_blocks_of_a_large_group_find_the_same_links():
-    texts = [t for t in near_copies() if t and len(t) > 100]
+def plain_classes(texts):
+    """The least place of every text's class, by comparing all pairs."""
     owner, run, weight = near_duplicates.shingles(texts)
-    low16 = (near_duplicates.signatures(owner, run, weight, len(texts)) & np.uint64(0xFFFF)).astype("<u2")
     cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-    packed = [np.repeat((run[a:b] >> np.uint64(32)).astype("<u4"), weight[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
-
-    def components(links):
-        parent = list(range(len(texts)))
-        for a, b in links:
-            while parent[a] != a:
-                a = parent[a]
-            while parent[b] != b:
-                b = parent[b]
-            parent[max(a, b)] = min(a, b)
-        return [next(x for x in iter(lambda s=[i]: s.__setitem__(0, parent[s[0]]) or s[0], None) if parent[x] == x) for i in range(len(texts))]
-
-    whole = near_duplicates.verified_links([(i, 0, low16[i].tobytes(), packed[i]) for i in range(len(texts))], 0, 0)
-    blocks = [(i, i % 3, low16[i].tobytes(), packed[i]) for i in range(len(texts))]
-    parts = [x for a in range(3) for b in range(a, 3) for x in near_duplicates.verified_links([r for r in blocks if r[1] in (a, b)], a, b)]
-    assert components(whole) == components(parts)
+    sets = [(run[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:])]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if texts[i] == texts[j] or len(sets[i][0]) and len(sets[j][0]) and near_duplicates.similarity(sets[i], sets[j]) >= near_duplicates.SIMILARITY:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return [find(i) for i in range(len(texts))]
+
+
+def test_blocks_of_a_bucket_find_the_same_links(spark, monkeypatch):
+    rng = random.Random(3)
+    base = ["w" + str(rng.randrange(5000)) for _ in range(200)]
+    change = lambda words, n: [("x" + str(rng.randrange(10**6))) if k in set(rng.sample(range(len(words)), n)) else w for k, w in enumerate(words)]
+    chain = [base]  # each is near the one before, the ends are not near: a candidate that is the first tells little
+    for _ in range(40):
+        chain.append(change(chain[-1], rng.choice([1, 3, 5, 8])))
+    texts = [" ".join(w) for w in chain + [change(rng.choice(chain), 12) for _ in range(60)]]
+    rng.shuffle(texts)
+    for main, block in ((4000, 400), (7, 5)):
+        monkeypatch.setattr(near_duplicates, "MAIN_BLOCK", main)
+        monkeypatch.setattr(near_duplicates, "BLOCK", block)
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        found = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicate_classes(frame).collect()}
+        assert [found[i] for i in range(len(texts))] == plain_classes(texts)
+
+
+def test_every_pair_of_a_bucket_meets_in_some_task(spark):
+    rng = random.Random(5)
+    rows = [(b, b * 1000 + n, b * 1000 + (0 if n < 23 and b else n // 2), bool(b) and n < 23, 4, 3) for b in range(3) for n in range(40)]
+    frame = spark.createDataFrame(rows, "bucket bigint, node bigint, component bigint, is_main boolean, mains int, others int")
+    met = set()
+    for r in near_duplicates.blocked(frame).groupBy("bucket", "one", "two").agg(F.collect_list(F.struct("node", "component", "side")).alias("x")).collect():
+        for p in r["x"]:
+            for q in r["x"]:
+                if p["component"] != q["component"] and (p["side"] and not q["side"] if r["one"] != r["two"] else p["node"] < q["node"]):
+                    met.add((min(p["node"], q["node"]), max(p["node"], q["node"])))
+    expected = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[2] != y[2]}
+    assert met == expected and rng
+
+
+def test_rows_of_one_doc_id_with_different_texts_are_different_documents(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, b), (3, b), (4, c), (5, a + " end"), (6, b), (6, c + " end")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r["doc_id"], r["text"]): r["class_id"] for r in near_duplicates.near_duplicate_classes(frame).collect()}
+    assert found == {(1, a): 2, (2, a): 2, (5, a + " end"): 2, (1, b): 3, (3, b): 3, (6, b): 3, (4, c): 4, (6, c + " end"): 4}
+    kept = near_duplicates.keep_one(frame).collect()
+    assert sorted((r["class_id"], r["text"][0]) for r in kept) == [(2, "a"), (3, "b"), (4, "c")]
+    alone = spark.createDataFrame([(1, a), (1, b), (None, c), (None, c), (7, None)], frame.schema)
+    found = [r["class_id"] for r in near_duplicates.near_duplicate_classes(alone).filter("doc_id = 1").collect()]
+    assert len(set(found)) == 2 and all(x < 0 for x in found)
+    assert near_duplicates.keep_one(alone).count() == 4
+
+
+def test_pairs_of_documents_are_found(spark):
+    """Recall and precision of pairs on a whole table, against the exact similarity of all pairs that share a run."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    owner, run, weight = near_duplicates.shingles([t for _, t in rows])
+    cuts = np.searchsorted(owner, np.arange(len(rows) + 1))
+    sets = [(run[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:])]
+    order = np.argsort(run, kind="stable")
+    groups = np.split(owner[order], np.flatnonzero(np.diff(run[order])) + 1)
+    near = {(i, j) for g in groups if 1 < len(g) <= 400 for i in g.tolist() for j in g.tolist() if i < j}
+    near = {(i, j) for i, j in near if near_duplicates.similarity(sets[i], sets[j]) >= near_duplicates.SIMILARITY}
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates.op9_near_duplicates(spark, "/root/testdata/sf0.01").collect()}
+    ids = [d for d, _ in rows]
+    hit = sum(found[ids[i]] == found[ids[j]] for i, j in near)
+    assert len(near) > 50 and hit >= 0.999 * len(near)
+    reach = list(range(len(rows)))
+
+    def find(x):
+        while reach[x] != x:
+            x = reach[x]
+        return x
+
+    for i, j in near:
+        a, b = sorted((find(i), find(j)))
+        reach[b] = a
+    assert sum(ids[find(i)] != found[ids[i]] for i in range(len(rows)) if rows[i][1]) <= 0.001 * len(rows)
 
 
 def test_registers_estimate_similarity():
