@@ -60,7 +60,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tokenizer = path("byte_bpe_50k.json")
 
     def codes(d):
-        coded = bpe_codec.decode(bpe_codec.encode(spread(d), tokenizer), tokenizer)
+        coded = bpe_codec.there_and_back(spread(d), tokenizer)
         return coded.withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("decoded")
 
     return codes(docs)
