@@ -12,7 +12,7 @@ from ..plans.shared import ship
 
 #: Rows and bytes of one Arrow batch that the JVM sends, and bytes that a Python stage works on at once: its arrays take
 #: many times the bytes of their texts. One text may be longer than this; it is then worked on alone.
-BATCH_ROWS, BATCH_BYTES, SLICE_BYTES = 1000, 2 << 20, 1 << 20
+BATCH_ROWS, BATCH_BYTES, SLICE_BYTES = 20_000, 2 << 20, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -361,6 +361,43 @@ def test_passages_that_end_in_a_common_line(spark):
     assert {r["doc_id"]: r["n_repeated"] for r in repeated_passages.repeated_passages(frame).collect()} == expected
 
 
+def test_passages_of_just_fifty_words_among_common_endings(spark):
+    rng = random.Random(4)
+    words = lambda n: ["w" + str(rng.randrange(9000)) for _ in range(n)]
+    ending = words(49)
+    docs = [words(30) + ending for _ in range(30)]
+    for k in range(10):  # two documents share one word more than all
+        docs[2 * k] = docs[2 * k][:29] + ["x" + str(k)] + ending
+        docs[2 * k + 1] = docs[2 * k + 1][:29] + ["x" + str(k)] + ending
+    docs += [words(70) + passage + words(9) for passage in [words(51) for _ in range(4)] for _ in range(2)]
+    expected = repeated_by_brute_force(docs)
+    assert len(expected) == 28
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["n_repeated"] for r in repeated_passages.repeated_passages(frame).collect()} == expected
+
+
+def test_passages_of_one_doc_id_with_two_texts_and_of_repeated_rows(spark):
+    rng = random.Random(4)
+    words = lambda n: " ".join("w" + str(rng.randrange(9000)) for _ in range(n))
+    passage, copy = words(60), words(80)
+    rows = [(1, words(20) + " " + passage), (1, words(90)), (2, passage + " " + words(30)), (3, copy), (3, copy), (4, copy), (5, words(70)), (5, words(70)), (6, words(60) + " x " + words(40))]
+    rows += [rows[-1]] * 40
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted((r["doc_id"], r["n_repeated"], r["passages"][0]["other_doc_id"]) for r in repeated_passages.repeated_passages(frame).collect())
+    assert found == [(1, 60, 2), (2, 60, 1), (3, 80, 4), (4, 80, 3)]
+
+
+def test_a_window_that_ranges_split_is_found_in_all_of_them(spark):
+    rows = [(7, d, 100 + d, 3) for d in range(500)] + [(8, 1, 101, 0), (8, 1, 101, 9), (9, 2, 102, 1), (9, 3, 103, 4), (10, 4, 104, 1)] + [(11, 5, 105, k) for k in range(300)] + [(11, 6, 106, 0), (12, 9, 1, 0), (12, 9, 2, 5)]
+    frame = spark.createDataFrame(rows, "window bigint, doc_id bigint, digest bigint, begin int")
+    for parts in ("1", "3", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found = [tuple(r) for r in repeated_passages.matches(frame).select("doc_id", "digest", "begin", "other_doc_id", "other_digest").collect()]
+        assert {f[:3] for f in found} == {r[1:] for r in rows if r[0] in (7, 9, 11, 12)}
+        assert all(f[1] != f[4] for f in found)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_passages_behind_a_key_of_very_many_suffixes(spark):
     rng = random.Random(6)
     words = lambda n: ["w" + str(rng.randrange(9000)) for _ in range(n)]
