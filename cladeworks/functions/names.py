@@ -100,6 +100,55 @@ def sheet_name(path: Column, last: bool = False) -> Column:
     return F.element_at(parts, -1) if last else F.get(parts, F.lit(1))
 
 
+def fixed(x: Column, digits: int) -> Column:
+    """A number as text with so many digits after the point, rounded by its exact binary value, ties to even.
+
+    The digits are those of the product of the fraction and 10 ** digits, whose rounding error is computed too.
+    """
+    scale = 10**digits
+    x = x.cast("double")
+    size, whole = F.abs(x), F.floor(F.abs(x))
+    f = size - whole.cast("double")
+    product = f * F.lit(float(scale))
+    high = f * F.lit(134217729.0) - (f * F.lit(134217729.0) - f)
+    error = (high * F.lit(float(scale)) - product) + (f - high) * F.lit(float(scale))
+    floor = F.floor(product)
+    rest = product - floor.cast("double")
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (floor % 2 == 1))))
+    total = whole * scale + floor + F.when(up, 1).otherwise(0)
+    text = F.concat(F.floor(total / scale).cast("string"), F.lit("."), F.lpad((total % scale).cast("string"), digits, "0"))
+    text = F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), text)
+    return F.when(size < float(1 << 53) / scale, text).when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
+
+
+def thousands(x: Column) -> Column:
+    """A whole number as text with commas between thousands."""
+    return F.format_number(x.cast("bigint"), 0)
+
+
+def strip_quotes(label: Column) -> Column:
+    return F.replace(label, F.lit("'"), F.lit(""))
+
+
+def ending(path: Column) -> Column:
+    """What follows the last dot of a file name; nothing if there is no dot."""
+    return F.regexp_extract(F.element_at(F.split(path, "/"), -1), r"\.([^.]*)$", 1)
+
+
+def base_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def at_most(value: Column, most: Column) -> Column:
+    """A resource request, clamped."""
+    return F.least(value, most)
+
+
+def runtime_hours(n_samples: Column) -> Column:
+    """Estimated hours of a run: a minute a sample."""
+    return F.round(n_samples / 60).cast("bigint")
+
+
 def mash_distance(jaccard: Column, k: int) -> Column:
     """-1/k ln(2j / (1 + j)); 1 where nothing is shared."""
     return F.when(jaccard <= 0, F.lit(1.0)).otherwise(F.abs(-F.log(2 * jaccard / (1 + jaccard)) / k))

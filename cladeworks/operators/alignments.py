@@ -1,13 +1,25 @@
-"""Column operators over multiple alignments, and SNP distances."""
+"""Column operators over multiple alignments, and SNP distances.
+
+An alignment is (cluster_id, seq_id, seq). Columns are looked at WORD at a time as bit masks of each base, aggregated
+before any shuffle, so no operator has a row for every base of every sequence.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import fixed
+from ..plans.shared import kept, ship
+from .skew import split_join
+
 BASES = ("A", "C", "G", "T")
-#: Columns of one bit mask.
-WORD = 63
+#: Columns of one bit mask, and sequences in a block of a cluster whose pairs are compared.
+WORD, BLOCK = 63, 200
 
 
 def long_form(alignment: DataFrame) -> DataFrame:
@@ -15,15 +27,56 @@ def long_form(alignment: DataFrame) -> DataFrame:
     return alignment.select("cluster_id", "seq_id", F.posexplode(F.split("seq", "")).alias("p", "base")).select("cluster_id", "seq_id", (F.col("p") + 1).alias("position"), "base")
 
 
+def _words(seq: str | Column) -> Column:
+    """The upper-cased sequence in parts of WORD columns, cut in one pass."""
+    return F.regexp_extract_all(F.upper(seq), F.lit(f"(.{{1,{WORD}}})"), F.lit(1))
+
+
+def _mask(part: Column, base: str) -> Column:
+    """Bits of a part's columns that have a base, the first column highest."""
+    return F.conv(F.rpad(F.translate(F.regexp_replace(part, f"[^{base}]", "0"), base, "1"), WORD, "0"), 2, 10).cast("bigint")
+
+
+def _masker(base: str):
+    return lambda part: _mask(part, base)
+
+
+def masks(alignment: DataFrame) -> DataFrame:
+    """(cluster_id, seq_id, w, part, A, C, G, T): a row for each WORD columns of a sequence."""
+    parts = alignment.select("cluster_id", "seq_id", F.posexplode(_words("seq")).alias("w", "part"))
+    return parts.select("*", *(_mask(F.col("part"), b).alias(b) for b in BASES))
+
+
+def _positions(words: DataFrame, *columns: Column) -> DataFrame:
+    """(cluster_id, position, *columns) of rows (cluster_id, w); columns may name i, a column's bit."""
+    every = words.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(WORD - 1)))).withColumn("i", F.lit(WORD - 1) - F.col("__k"))
+    return every.select("cluster_id", (F.col("w") * WORD + F.col("__k") + 1).cast("int").alias("position"), *columns)
+
+
+def _bit(mask: str) -> Column:
+    return F.expr(f"shiftright({mask}, i) & 1L") == 1
+
+
 def equal_lengths(alignment: DataFrame) -> DataFrame:
     """Clusters whose sequences differ in length; empty if the alignment is sound."""
     return alignment.groupBy("cluster_id").agg(F.min(F.length("seq")).alias("least"), F.max(F.length("seq")).alias("most")).filter("least <> most")
 
 
-def core_snp_positions(cells: DataFrame) -> DataFrame:
+def column_bases(alignment: DataFrame) -> DataFrame:
+    """(cluster_id, position, bases): the distinct bases of every column besides gaps and N, sorted; ambiguity codes count."""
+    parts = masks(alignment)
+    words = parts.groupBy("cluster_id", "w").agg(*(F.bit_or(b).alias(b) for b in BASES))
+    here = F.filter(F.array(*(F.when(_bit(b), F.lit(b)) for b in BASES)), lambda x: x.isNotNull())
+    common = _positions(words, here.alias("bases")).filter(F.size("bases") > 0)
+    odd = parts.filter(F.col("part").rlike("[^ACGTN-]")).select("cluster_id", "w", F.posexplode(F.split("part", "")).alias("k", "base"))
+    odd = odd.filter(F.col("base").rlike("[^ACGTN-]")).select("cluster_id", (F.col("w") * WORD + F.col("k") + 1).cast("int").alias("position"), "base").distinct()
+    both = common.unionByName(odd.select("cluster_id", "position", F.array("base").alias("bases")))
+    return both.groupBy("cluster_id", "position").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("bases")))).alias("bases"))
+
+
+def core_snp_positions(alignment: DataFrame) -> DataFrame:
     """(cluster_id, position, ref_base, alt_bases): columns with two or more bases besides gaps and N."""
-    base = F.when(~F.upper("base").isin("-", "N"), F.upper("base"))
-    found = cells.groupBy("cluster_id", "position").agg(F.array_sort(F.collect_set(base)).alias("bases")).filter(F.size("bases") > 1)
+    found = column_bases(alignment).filter(F.size("bases") > 1)
     return found.select("cluster_id", "position", F.element_at("bases", 1).alias("ref_base"), F.array_join(F.slice("bases", 2, 1 << 20), ",").alias("alt_bases"))
 
 
@@ -31,17 +84,35 @@ def normal_base(base: Column) -> Column:
     return F.when(F.upper(base).isin("-", "N"), F.lit("N")).otherwise(F.upper(base))
 
 
-def core_snp_sequences(cells: DataFrame, positions: DataFrame) -> DataFrame:
-    """(cluster_id, seq_id, n_snps, seq): each sequence at the core SNP columns."""
-    kept = cells.join(positions.select("cluster_id", "position"), ["cluster_id", "position"])
-    rows = kept.groupBy("cluster_id", "seq_id").agg(F.sort_array(F.collect_list(F.struct("position", normal_base(F.col("base")).alias("b")))).alias("x"))
-    return rows.select("cluster_id", "seq_id", F.size("x").cast("bigint").alias("n_snps"), F.array_join(F.transform("x", lambda c: c["b"]), "").alias("seq"))
+def core_snp_sequences(alignment: DataFrame, positions: DataFrame) -> DataFrame:
+    """(cluster_id, seq_id, n_snps, seq): each sequence at its cluster's core SNP columns, whose list goes to the sequences."""
+    lists = positions.groupBy("cluster_id").agg(F.sort_array(F.collect_list("position")).alias("places"))
+    rows = split_join(alignment.select("cluster_id", "seq_id", _words("seq").alias("parts")), lists, "cluster_id", "seq_id", counted=alignment)
+    base = lambda p: F.substr(F.get("parts", F.floor((p - 1) / WORD).cast("int")), (p - 1) % WORD + 1, F.lit(1))
+    seq = F.array_join(F.transform("places", lambda p: normal_base(base(p))), "")
+    return rows.select("cluster_id", "seq_id", F.size("places").cast("bigint").alias("n_snps"), seq.alias("seq"))
 
 
-def atcg_columns(cells: DataFrame) -> DataFrame:
+def atcg_columns(alignment: DataFrame) -> DataFrame:
     """(cluster_id, position, n_bases): columns where every base is A, C, G or T; n_bases 1 marks invariant ones."""
-    good = F.min(F.upper("base").isin(*BASES))
-    return cells.groupBy("cluster_id", "position").agg(good.alias("good"), F.countDistinct(F.upper("base")).alias("n_bases")).filter("good").select("cluster_id", "position", "n_bases")
+    every = reduce(Column.bitwiseOR, (F.col(b) for b in BASES))
+    words = masks(alignment).groupBy("cluster_id", "w").agg(F.bit_and(every).alias("good"), *(F.bit_or(b).alias(b) for b in BASES))
+    n = reduce(Column.__add__, (F.when(_bit(b), 1).otherwise(0) for b in BASES))
+    return _positions(words, _bit("good").alias("good"), n.cast("bigint").alias("n_bases")).filter("good").select("cluster_id", "position", "n_bases")
+
+
+def atcg_sequences(alignment: DataFrame, columns: DataFrame) -> DataFrame:
+    """(cluster_id, seq_id, seq): each sequence at the columns of atcg_columns; N where a cluster has none."""
+    found = core_snp_sequences(alignment, columns).select("cluster_id", "seq_id", "seq")
+    none = alignment.join(columns.select("cluster_id").distinct(), "cluster_id", "left_anti")
+    return found.unionByName(none.select("cluster_id", "seq_id", F.lit("N").alias("seq")))
+
+
+def invariant_counts(columns: DataFrame, first: int = 1000) -> DataFrame:
+    """(cluster_id, n_invariant, n_variable) among the first so many columns of atcg_columns, by position."""
+    place = F.row_number().over(Window.partitionBy("cluster_id").orderBy("position"))
+    rows = columns.withColumn("k", place).filter(F.col("k") <= first)
+    return rows.groupBy("cluster_id").agg(F.count_if(F.col("n_bases") == 1).alias("n_invariant"), F.count_if(F.col("n_bases") > 1).alias("n_variable"))
 
 
 def sequence_classes(alignment: DataFrame) -> DataFrame:
@@ -49,36 +120,88 @@ def sequence_classes(alignment: DataFrame) -> DataFrame:
     return alignment.withColumn("seq", F.upper("seq")).groupBy("cluster_id", "seq").agg(F.min("seq_id").alias("rep"), F.count("*").alias("n"))
 
 
-def snp_distances(classes: DataFrame) -> DataFrame:
-    """(cluster_id, a, b, n_snps) of classes a < b: columns where both have one of ACGT, and not the same.
+def snp_distances(classes: DataFrame, most: int | None = None) -> DataFrame:
+    """(cluster_id, a, b, n_snps) of classes a < b: columns where both have one of ACGT, and not the same; up to `most`.
 
-    Columns are packed into bit masks, 63 at a time, so that a pair costs a few integer operations a mask instead of
-    one comparison a column.
+    A cluster's classes are cut into blocks; a pair of blocks is one task, which compares 63 columns with a few integer
+    operations. So a cluster of any size spreads over tasks, and a task holds two blocks. The result is quadratic in a
+    cluster's classes unless `most` bounds it.
     """
-    chunk = classes.select("cluster_id", "rep", F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / WORD).cast("int"))).alias("w"), F.col("seq").alias("s"))
-    part = chunk.select("cluster_id", "rep", "w", F.substring("s", F.col("w") * WORD + 1, F.lit(WORD)).alias("part"))
-    bits = [F.conv(F.translate(F.regexp_replace("part", f"[^{b}]", "0"), b, "1"), 2, 10).cast("bigint").alias(b) for b in BASES]
-    masks = part.select("cluster_id", "rep", "w", *bits)
-    left = masks.select("cluster_id", "w", F.col("rep").alias("a"), *(F.col(b).alias(f"{b}1") for b in BASES))
-    right = masks.select("cluster_id", "w", F.col("rep").alias("b"), *(F.col(b).alias(f"{b}2") for b in BASES))
-    differ = F.expr("bit_count((A1|C1|G1|T1) & (A2|C2|G2|T2) & ~((A1&A2)|(C1&C2)|(G1&G2)|(T1&T2)))")
-    pairs = left.join(right, ["cluster_id", "w"]).filter("a < b")
-    return pairs.groupBy("cluster_id", "a", "b").agg(F.sum(differ).alias("n_snps"))
-
-
-def vcf_rows(cells: DataFrame, positions: DataFrame) -> DataFrame:
-    """(cluster_id, pos, ref, alt, n_ref, n_alt, n_missing): one row for each core SNP column."""
-    rows = cells.join(positions, ["cluster_id", "position"])
-    base = F.upper("base")
+    ship(classes.sparkSession)
+    sizes = classes.groupBy("cluster_id").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = split_join(kept(classes.select("cluster_id", "rep", "seq"), "classes"), sizes, "cluster_id", "rep")
+    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    bits = [F.transform(_words("seq"), _masker(b)).alias(b) for b in BASES]
+    tasks = rows.select("cluster_id", F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"), "rep", "mine", *bits)
+    tasks = tasks.repartition("cluster_id", "one", "two").sortWithinPartitions("cluster_id", "one", "two", "rep")
+    names, fields = ["cluster_id", "a", "b", "n_snps"], {f.name: f.dataType.simpleString() for f in classes.schema.fields}
+
+    def compared(key, part):
+        rep, mine = [r[0] for r in part], np.array([r[1] for r in part])
+        width = max(len(r[2]) for r in part)
+        grid = np.zeros((4, len(part), width), np.int64)
+        for i, r in enumerate(part):
+            for k in range(4):
+                grid[k, i, : len(r[2 + k])] = r[2 + k]
+        known, place = np.bitwise_or.reduce(grid), np.arange(len(part))
+        for i in place.tolist():
+            later = place[i + 1 :] if key[1] == key[2] else place[i + 1 :][mine[i + 1 :] != mine[i]]
+            same = np.bitwise_or.reduce(grid[:, later] & grid[:, i : i + 1])
+            n = np.bitwise_count(known[later] & known[i] & ~same).sum(axis=1).astype(np.int64)
+            later, n = (later, n) if most is None else (later[n <= most], n[n <= most])
+            yield from ((key[0], rep[i], rep[j], x) for j, x in zip(later.tolist(), n.tolist()))
+
+    def run(batches):
+        key, part, kinds = None, [], None
+
+        def out(found):
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)], names)
+
+        for batch in batches:
+            kinds = kinds or [batch.schema.field(0).type, batch.schema.field(3).type, batch.schema.field(3).type, pa.int64()]
+            for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+                if row[:3] != key:
+                    if len(part) > 1:
+                        yield out(list(compared(key, part)))
+                    key, part = row[:3], []
+                part.append(row[3:])
+        if len(part) > 1:
+            yield out(list(compared(key, part)))
+
+    return tasks.mapInArrow(run, f"cluster_id {fields['cluster_id']}, a {fields['rep']}, b {fields['rep']}, n_snps bigint")
+
+
+def pair_table(pairs: DataFrame, classes: DataFrame, alignment: DataFrame) -> DataFrame:
+    """(cluster_id, sample_a, sample_b, n_snps, is_self): every ordered pair of a cluster's samples, also with itself.
+
+    pairs: of classes, as snp_distances gives them; sinks.pair_table writes by distance, pairs of a sample with itself last.
+    """
+    of = alignment.select("cluster_id", F.upper("seq").alias("seq"), F.col("seq_id").alias("s")).join(classes.select("cluster_id", "seq", "rep"), ["cluster_id", "seq"]).select("cluster_id", "s", "rep")
+    both = pairs.select("cluster_id", F.col("a").alias("rep"), F.col("b").alias("other"), "n_snps")
+    both = both.unionByName(pairs.select("cluster_id", F.col("b").alias("rep"), F.col("a").alias("other"), "n_snps"))
+    own = classes.select("cluster_id", "rep", F.col("rep").alias("other"), F.lit(0).cast("bigint").alias("n_snps"))
+    rows = both.unionByName(own).join(of, ["cluster_id", "rep"]).join(of.select("cluster_id", F.col("rep").alias("other"), F.col("s").alias("t")), ["cluster_id", "other"])
+    return rows.select("cluster_id", F.col("s").alias("sample_a"), F.col("t").alias("sample_b"), "n_snps", (F.col("s") == F.col("t")).alias("is_self"))
+
+
+def vcf_rows(alignment: DataFrame, positions: DataFrame) -> DataFrame:
+    """(cluster_id, pos, ref, alt, n_ref, n_alt, n_missing): one row for each core SNP column; of these alone cells are counted."""
+    cells = core_snp_sequences(alignment, positions).select("cluster_id", F.posexplode(F.split("seq", "")).alias("k", "base"))
+    counts = cells.groupBy("cluster_id", "k", "base").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("cluster_id").orderBy("position")) - 1
+    rows = counts.join(positions.withColumn("k", place), ["cluster_id", "k"])
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("bigint")
+    missing, base = F.col("base") == "N", F.col("base")
     return rows.groupBy("cluster_id", F.col("position").alias("pos"), F.col("ref_base").alias("ref"), F.col("alt_bases").alias("alt")).agg(
-        F.count_if(base == F.col("ref_base")).alias("n_ref"), F.count_if(~base.isin("-", "N") & (base != F.col("ref_base"))).alias("n_alt"), F.count_if(base.isin("-", "N")).alias("n_missing")
+        total(base == F.col("ref_base")).alias("n_ref"), total(~missing & (base != F.col("ref_base"))).alias("n_alt"), total(missing).alias("n_missing")
     )
 
 
 def integrate_positions(positions: DataFrame) -> DataFrame:
     """Positions of all clusters on one axis: each cluster begins after the largest position of those before it."""
     most = positions.groupBy("cluster_id").agg(F.max("position").alias("m"))
-    before = Window.orderBy("cluster_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("cluster_id").rowsBetween(Window.unboundedPreceding, -1)  # one task: a row for each cluster
     offset = most.withColumn("offset", F.coalesce(F.sum("m").over(before), F.lit(0)))  # one row for each cluster
     rows = positions.join(offset.select("cluster_id", "offset"), "cluster_id")
     return rows.select("cluster_id", (F.col("position") + F.col("offset")).cast("bigint").alias("global_position"), F.col("position").cast("bigint").alias("original_position"), "ref_base", "alt_bases")
@@ -96,15 +219,31 @@ def sample_mapping(samples: DataFrame, clusters: DataFrame) -> DataFrame:
     return samples.join(clusters, "sample_id", "left").select("sample_id", F.coalesce("cluster_id", F.lit("unknown")).alias("cluster_id"), "total_snps")
 
 
-def split_kmers(df: DataFrame, sample: str, seq: str, flank: int = 7) -> DataFrame:
+def integration_summary(samples: DataFrame, positions: DataFrame) -> DataFrame:
+    """One row: n_samples, n_clusters, total_snps, longest and mean length; samples: of integrate_sequences."""
+    of = positions.groupBy("cluster_id").agg(F.count("*").alias("n"))
+    one = of.agg(F.count("*").alias("n_clusters"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_positions"))
+    length = F.col("total_snps")
+    two = samples.agg(F.count("*").alias("n_samples"), F.coalesce(F.max(length), F.lit(0)).cast("bigint").alias("longest"), F.coalesce(F.min(length) == F.max(length), F.lit(True)).alias("is_rectangular"), fixed(F.coalesce(F.avg(length), F.lit(0.0)), 2).alias("average"))
+    return two.crossJoin(F.broadcast(one))  # one row with one row
+
+
+def split_kmers(df: DataFrame, sample: str, seq: str, flank: int = 7, both_strands: bool = False) -> DataFrame:
     """(left, right, n_samples, bases): split k-mers whose middle base differs between samples.
 
-    A sample with several middle bases between the same flanks has N there.
+    A sample with several middle bases between the same flanks has N there. both_strands reads each k-mer from the strand
+    whose flanks come first; flanks that are equal on both strands take the lesser middle base.
     """
     size = 2 * flank + 1
     text = F.upper(F.col(seq))
     places = df.filter(F.length(seq) >= size).select(F.col(sample).alias("s"), text.alias("t"), F.explode(F.sequence(F.lit(1), F.length(seq) - size + 1)).alias("i"))
     cut = places.select("s", F.substring("t", F.col("i"), F.lit(flank)).alias("left"), F.substring("t", F.col("i") + flank, F.lit(1)).alias("m"), F.substring("t", F.col("i") + flank + 1, F.lit(flank)).alias("right"))
+    if both_strands:
+        turned = lambda c: F.reverse(F.translate(c, "ACGT", "TGCA"))
+        here, there = F.concat("left", "right"), F.concat(turned("right"), turned("left"))
+        pick = lambda a, b: F.when(here <= there, a).otherwise(b)
+        middle = F.when(here == there, F.least("m", turned("m"))).otherwise(pick(F.col("m"), turned("m")))
+        cut = cut.select("s", pick(F.col("left"), turned("right")).alias("left"), middle.alias("m"), pick(F.col("right"), turned("left")).alias("right"))
     one = cut.groupBy("s", "left", "right").agg(F.min("m").alias("lo"), F.max("m").alias("hi")).select("left", "right", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit("N")).alias("m"))
     sites = one.groupBy("left", "right").agg(F.count("*").alias("n_samples"), F.array_join(F.array_sort(F.collect_set("m")), "").alias("bases"))
     return sites.filter(F.length(F.replace(F.col("bases"), F.lit("N"), F.lit(""))) > 1)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.shared import kept
 from .components import connected_components
-from .sketches import edges_within
 
 MERGED = "merged_small_clusters"
 
@@ -32,17 +30,17 @@ def split_oversize(members: DataFrame, most: int, sample: str = "sample_id", com
 def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
     """rows plus cluster_id: cluster_0, cluster_1, ... in order of the keys.
 
-    Ranks over all groups without one task for all: groups are ranked inside ranges of the first key, and a row for
-    each range says how many come before it.
+    Ranks over all groups without one task for all: groups are ranked inside ranges of the keys, which are written, and a
+    row for each range says how many come before it.
     """
     groups = rows.groupBy(*keys).agg(F.count("*").alias("__n")).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    # position inside the range, then the offset of the range
-    ranged = groups.withColumn("__range", F.spark_partition_id()).select(*keys, "__range")
-    inside = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__range").orderBy(*keys)))
+    # a place inside the range is the low half of this number, the range the high half; both are fixed by writing them
+    inside = kept(groups.select(*keys, F.monotonically_increasing_id().alias("__at")), "ranges")
+    inside = inside.withColumn("__range", F.shiftright("__at", 33)).withColumn("__i", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = inside.groupBy("__range").agg(F.count("*").alias("__size"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__size").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ids = inside.join(F.broadcast(before.select("__range", "__before")), "__range")
-    ids = ids.select(*keys, F.concat(F.lit("cluster_"), (F.col("__before") + F.col("__i") - 1).cast("string")).alias("cluster_id"))
+    ids = ids.select(*keys, F.concat(F.lit("cluster_"), (F.col("__before") + F.col("__i")).cast("string")).alias("cluster_id"))
     return rows.join(ids, keys)
 
 
@@ -76,6 +74,14 @@ def merge_small(members: DataFrame, merge: bool = True) -> DataFrame:
     return viable.unionByName(small.join(F.broadcast(enough), "cluster_id", "left_semi").select("sample_id", "cluster_id"))
 
 
+def summary_lines(cluster_sizes: DataFrame) -> DataFrame:
+    """(line): a text summary, a line for all and one for each cluster."""
+    one = size_classes(cluster_sizes)
+    top = one.select(F.lit(0).alias("k"), F.lit("").alias("c"), F.format_string("%d clusters of %d samples, largest %d", "n_clusters", "n_samples", "max_size").alias("line"))
+    rows = cluster_sizes.select(F.lit(1).alias("k"), F.col("cluster_id").alias("c"), F.format_string("%s: %d", "cluster_id", "n_isolates").alias("line"))
+    return top.unionByName(rows).orderBy("k", "c").select("line")
+
+
 def medoids(classes: DataFrame, pairs: DataFrame, missing: float = 1.0) -> DataFrame:
     """(cluster_id, representative, n_members, distance_sum): the member nearest to all others, least name on ties.
 
@@ -94,21 +100,3 @@ def medoids(classes: DataFrame, pairs: DataFrame, missing: float = 1.0) -> DataF
     rows = rows.withColumn("distance_sum", F.round(F.coalesce("d", F.lit(0.0)) + F.lit(missing) * rest, 6))
     best = rows.groupBy("cluster_id").agg(F.min(F.struct("distance_sum", "r", "n_members")).alias("m"))
     return best.select("cluster_id", F.col("m.r").alias("representative"), "m.n_members", "m.distance_sum")
-
-
-def sweep(classes: DataFrame, pairs: DataFrame, thresholds: list[float]) -> DataFrame:
-    """For each threshold: number of clusters, of singletons, the largest, and the fraction of samples removed.
-
-    All thresholds go through one run of components, over nodes that carry the threshold's number.
-    """
-    shift = 1_000_000_000_000_000
-    each = reduce(DataFrame.unionByName, (edges_within(pairs, t).select((F.col("a") + i * shift).alias("a"), (F.col("b") + i * shift).alias("b")) for i, t in enumerate(thresholds)))
-    found = connected_components(each)
-    table = classes.sparkSession.createDataFrame(list(enumerate(thresholds)), "i bigint, threshold double")
-    nodes = classes.select("rep", "n").crossJoin(F.broadcast(table)).withColumn("node", F.col("rep") + F.col("i") * shift)
-    members = nodes.join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    groups = members.groupBy("threshold", "c").agg(F.sum("n").alias("n"))
-    return groups.groupBy("threshold").agg(
-        F.count("*").alias("n_clusters"), F.count_if(F.col("n") == 1).alias("n_singletons"), F.max("n").alias("largest"),
-        F.round(1 - F.count("*") / F.sum("n"), 6).alias("fraction_removed"),
-    )

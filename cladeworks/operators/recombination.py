@@ -5,26 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.shared import kept
+from ..plans.shared import kept, remove
 
 
 def tip_closure(edges: DataFrame) -> DataFrame:
     """(node, tip): the tips at or below every node of the trees (parent, child); a tip is below itself.
 
-    Ancestor pairs double their length each round, so a tree of depth d takes about log2(d) rounds.
+    Pointers from each tip jump twice as far up each round, so a tree of depth d takes about log2(d) rounds. What is kept
+    are pairs of tips and nodes above them, which is the result itself, and one jump table a round, a row for each node.
     """
+    up = edges.filter("parent is not null").select(F.col("child").alias("node"), F.col("parent").alias("above")).distinct()
     tips = edges.select(F.col("child").alias("tip")).join(edges.select(F.col("parent").alias("tip")), "tip", "left_anti").distinct()
-    reach = edges.select(F.col("parent").alias("node"), F.col("child").alias("below")).filter("node is not null").distinct()
-    # every round adds the pairs of up to twice the length
-    seen = kept(reach, "closure")
-    n = seen.count()
-    while True:
-        step = seen.select(F.col("node").alias("below"), F.col("below").alias("far"))
-        seen = kept(seen.unionByName(seen.join(step, "below").select("node", F.col("far").alias("below"))).distinct(), "closure")
-        if (now := seen.count()) == n:
-            break
-        n = now
-    return seen.join(tips, F.col("below") == F.col("tip")).select("node", "tip").unionByName(tips.select(F.col("tip").alias("node"), "tip"))
+    # reach: every node of the first 2**k steps above a tip, tip included; jump: the node 2**k steps above
+    reach, jump = kept(tips.select("tip", F.col("tip").alias("node")), "closure"), kept(up, "jump")
+    while not jump.isEmpty():
+        more = reach.join(jump, "node").select("tip", F.col("above").alias("node"))
+        grown = kept(reach.unionByName(more), "closure")
+        far = kept(jump.join(jump.select(F.col("node").alias("above"), F.col("above").alias("far")), "above").select("node", F.col("far").alias("above")), "jump")
+        for done in (reach, jump):
+            remove(done)
+        reach, jump = grown, far
+    return reach.select("node", "tip").distinct()
 
 
 def unknown_nodes(intervals: DataFrame, closure: DataFrame) -> DataFrame:
@@ -32,6 +33,13 @@ def unknown_nodes(intervals: DataFrame, closure: DataFrame) -> DataFrame:
     return intervals.select("node").distinct().join(closure.select("node").distinct(), "node", "left_anti")
 
 
+def require_known_nodes(intervals: DataFrame, closure: DataFrame) -> DataFrame:
+    """intervals, or an error that names nodes that the tree lacks."""
+    if found := unknown_nodes(intervals, closure).limit(5).collect():
+        raise ValueError("intervals of nodes that are not in the tree: " + ", ".join(str(r["node"]) for r in found))
+    return intervals
+
+
 def tip_intervals(intervals: DataFrame, closure: DataFrame) -> DataFrame:
     """(tip, start, stop): 0-based half-open intervals of all nodes above each tip, disjoint and in order."""
     rows = intervals.join(closure, "node").select("tip", "start", "stop").filter("stop > start").distinct()

@@ -85,7 +85,7 @@ def write_newick(root: Node) -> str:
 
 def star(names: list[str]) -> str:
     """The fallback tree in which all tips hang on one node."""
-    return "(" + ",".join(names) + ");"
+    return write_newick(Node(children=[Node(n) for n in names]))
 
 
 def edges_of(tree_id: str, root: Node) -> pd.DataFrame:
@@ -129,48 +129,64 @@ def write_trees(edges: DataFrame) -> DataFrame:
 
 
 def neighbour_joining(names: list[str], d: np.ndarray) -> Node:
-    """The neighbour-joining tree of a distance matrix; negative lengths become 0. An estimate, not a likelihood tree."""
+    """The neighbour-joining tree of a distance matrix; negative lengths become 0. An estimate, not a likelihood tree.
+
+    The matrix is joined in place, a row's sum kept up to date: memory is one matrix, work cubic.
+    """
     nodes, d = [Node(n) for n in names], np.array(d, float)
-    while len(nodes) > 3:
-        n, total = len(nodes), d.sum(axis=1)
-        q = (n - 2) * d - total - total[:, None]
+    total, n = d.sum(axis=1), len(names)
+    while n > 3:
+        q = (n - 2) * d[:n, :n] - total[:n]
+        q -= total[:n, None]
         np.fill_diagonal(q, np.inf)
-        i, j = divmod(int(np.argmin(np.round(q, 12))), n)
+        i, j = divmod(int(np.argmin(np.round(q, 12, out=q))), n)
         i, j = min(i, j), max(i, j)
         half = d[i, j] / 2 + (total[i] - total[j]) / (2 * (n - 2))
         nodes[i].length, nodes[j].length = max(half, 0.0), max(d[i, j] - half, 0.0)
-        joined = (d[i] + d[j] - d[i, j]) / 2
-        keep = [k for k in range(n) if k not in (i, j)]
-        d = np.block([[d[np.ix_(keep, keep)], joined[keep, None]], [joined[None, keep], np.zeros((1, 1))]])
-        nodes = [nodes[k] for k in keep] + [Node(children=[nodes[i], nodes[j]])]
-    if len(nodes) == 3:
+        joined = (d[i, :n] + d[j, :n] - d[i, j]) / 2
+        joined[[i, j]] = 0.0
+        total[:n] += joined - d[i, :n] - d[j, :n]
+        # the new node takes place i, the last one place j
+        d[i, :n] = d[:n, i] = joined
+        total[i] = joined.sum() - joined[j]
+        nodes[i] = Node(children=[nodes[i], nodes[j]])
+        if j < n - 1:
+            d[j, :n], nodes[j], total[j] = d[n - 1, :n], nodes[n - 1], total[n - 1]
+            d[:n, j] = d[:n, n - 1]
+            d[j, j] = 0.0
+        n -= 1
+    nodes, d = nodes[:n], d[:n, :n]
+    if n == 3:
         a, b, c = d[0, 1], d[0, 2], d[1, 2]
         for node, length in zip(nodes, ((a + b - c) / 2, (a + c - b) / 2, (b + c - a) / 2)):
             node.length = max(length, 0.0)
-    elif len(nodes) == 2:
+    elif n == 2:
         for node in nodes:
             node.length = d[0, 1] / 2
-    return Node(children=nodes) if len(nodes) > 1 else nodes[0]
+    return Node(children=nodes) if n > 1 else nodes[0]
 
 
-def nj_trees(distances: DataFrame, members: DataFrame, most: int = 2000) -> DataFrame:
-    """(cluster_id, n_tips, method, newick) for each cluster; missing pairs are as far as the cluster's farthest.
+def nj_trees(distances: DataFrame, members: DataFrame, missing: float | None = None) -> DataFrame:
+    """(cluster_id, n_tips, method, newick) for each cluster, whole.
 
-    distances: cluster_id, a, b, distance; members: cluster_id, name. Fewer than three members, or more than `most`
-    (the matrix is quadratic, so clusters are split before), give a star, and the method says so.
+    A pair that is not listed is `missing` apart, or else as far as the cluster's farthest. distances: cluster_id, a, b,
+    distance; members: cluster_id, name. Fewer than three members give a star, and the method says so. A cluster's matrix is
+    in one task (8 bytes a pair) and joining is cubic, so clusters are split before (clusters.split_oversize) where they may
+    have tens of thousands of different sequences.
     """
     ship(members.sparkSession)
 
     def build(key, people, pairs):
         names = sorted(people["name"].astype(str))
-        if not 3 <= len(names) <= most:
+        if len(names) < 3:
             return pd.DataFrame({"cluster_id": [key[0]], "n_tips": [len(names)], "method": ["star"], "newick": [star(names)]})
-        at = {n: i for i, n in enumerate(names)}
-        d = np.full((len(names), len(names)), float(pairs["distance"].max()) if len(pairs) else 0.0)
+        at = pd.Series(np.arange(len(names)), index=names)
+        far = missing if missing is not None else float(pairs["distance"].max()) if len(pairs) else 0.0
+        d = np.full((len(names), len(names)), far)
         np.fill_diagonal(d, 0)
-        for a, b, x in zip(pairs["a"].astype(str), pairs["b"].astype(str), pairs["distance"]):
-            if a in at and b in at:
-                d[at[a], at[b]] = d[at[b], at[a]] = x
+        known = pairs[pairs["a"].isin(at.index) & pairs["b"].isin(at.index)]
+        i, j = at[known["a"]].to_numpy(), at[known["b"]].to_numpy()
+        d[i, j] = d[j, i] = known["distance"].to_numpy(float)
         return pd.DataFrame({"cluster_id": [key[0]], "n_tips": [len(names)], "method": ["neighbour_joining"], "newick": [write_newick(neighbour_joining(names, d))]})
 
     kind = members.schema["cluster_id"].dataType.simpleString()
@@ -280,19 +296,38 @@ def graft_all(backbone: str, clusters: list[tuple[str, str, str | None]], mode:
     return write_newick(root), report
 
 
+def _grafted(backbones: DataFrame, clusters: DataFrame, mode: str, fuzzy: bool, out, schema: str) -> DataFrame:
+    """out(tree_id, newick, report rows) of every backbone with its clusters, in order of cluster_id."""
+    ship(backbones.sparkSession)
+
+    def run(key, tree, parts):
+        if not len(tree):
+            return out(key[0], None, [(c, None if pd.isna(r) else r, "failed_no_backbone") for c, r in parts.sort_values("cluster_id")[["cluster_id", "representative"]].itertuples(index=False)])
+        rows = [(c, n, None if pd.isna(r) else r) for c, n, r in parts.sort_values("cluster_id")[["cluster_id", "newick", "representative"]].itertuples(index=False)]
+        return out(key[0], *graft_all(tree["newick"].iloc[0], rows, mode, fuzzy))
+
+    return backbones.groupBy("tree_id").cogroup(clusters.groupBy("tree_id")).applyInPandas(run, schema)
+
+
 def graft_trees(backbones: DataFrame, clusters: DataFrame, mode: str = "keep", fuzzy: bool = False) -> DataFrame:
     """(tree_id, newick, n_tips, n_grafted, n_failed): every backbone with its clusters, in order of cluster_id.
 
     backbones: tree_id, newick; clusters: tree_id, cluster_id, newick, representative.
     """
-    ship(backbones.sparkSession)
 
-    def run(key, tree, parts):
-        if not len(tree):
+    def out(tree_id, newick, report):
+        if newick is None:
             return pd.DataFrame(columns=["tree_id", "newick", "n_tips", "n_grafted", "n_failed"])
-        rows = [(c, n, None if pd.isna(r) else r) for c, n, r in parts.sort_values("cluster_id")[["cluster_id", "newick", "representative"]].itertuples(index=False)]
-        newick, report = graft_all(tree["newick"].iloc[0], rows, mode, fuzzy)
         good = sum(s == "grafted" for *_, s in report)
-        return pd.DataFrame({"tree_id": [key[0]], "newick": [newick], "n_tips": [len(parse_newick(newick).tips())], "n_grafted": [good], "n_failed": [len(report) - good]})
+        return pd.DataFrame({"tree_id": [tree_id], "newick": [newick], "n_tips": [len(parse_newick(newick).tips())], "n_grafted": [good], "n_failed": [len(report) - good]})
+
+    return _grafted(backbones, clusters, mode, fuzzy, out, "tree_id string, newick string, n_tips bigint, n_grafted bigint, n_failed bigint")
+
+
+def graft_report(backbones: DataFrame, clusters: DataFrame, mode: str = "keep", fuzzy: bool = False) -> DataFrame:
+    """(tree_id, cluster_id, representative, status): what became of every cluster; frames as for graft_trees."""
+
+    def out(tree_id, newick, report):
+        return pd.DataFrame({"tree_id": [tree_id] * len(report), "cluster_id": [c for c, _, _ in report], "representative": [r or "" for _, r, _ in report], "status": [s for *_, s in report]})
 
-    return backbones.groupBy("tree_id").cogroup(clusters.groupBy("tree_id")).applyInPandas(run, "tree_id string, newick string, n_tips bigint, n_grafted bigint, n_failed bigint")
+    return _grafted(backbones, clusters, mode, fuzzy, out, "tree_id string, cluster_id string, representative string, status string")

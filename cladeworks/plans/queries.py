@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as fn
@@ -12,7 +12,10 @@ from ..operators import downsample as ds
 from ..operators import qc, recombination, rollup, trees
 from ..operators import sketches as sk
 from .shared import kept
-from .stand_ins import FAR, K, SIZE, THRESHOLD, alignment, genomes, intervals, read, tree
+from ..sources import readers, sinks
+from . import workflow
+from .settings import settings
+from .stand_ins import FAR, K, SIZE, THRESHOLD, alignment, genomes, intervals, metadata, read, study, tree
 
 
 def _sketches(spark, d) -> DataFrame:
@@ -28,10 +31,10 @@ def _pairs(classes, far=FAR) -> DataFrame:
     return sk.distance_pairs(classes, K, SIZE, far)
 
 
-def _components(spark, d, threshold=THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members: sample_id, component; classes with component; pairs)."""
+def _components(spark, d, threshold=THRESHOLD, far=THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members: sample_id, component; classes with component; pairs up to far)."""
     sketches, classes = _classes(spark, d)
-    pairs = kept(_pairs(classes), "pairs")
+    pairs = kept(_pairs(classes, far), "pairs")
     found = cl.single_linkage(classes.select(F.col("rep").alias("sample_id")), sk.edges_within(pairs, threshold))
     found = kept(found, "components").withColumnRenamed("sample_id", "rep")
     members = sk.class_members(sketches, classes, "doc_id").join(found, "rep")
@@ -61,7 +64,7 @@ def cluster_components(spark, d):
 
 
 def _clusters(spark, d, most=1 << 30) -> DataFrame:
-    return kept(cl.split_oversize(kept(_components(spark, d)[0], "members"), most), "clusters")
+    return kept(cl.split_oversize(_components(spark, d)[0], most), "clusters")
 
 
 def cluster_sizes(spark, d):
@@ -85,30 +88,24 @@ def cluster_merge_small(spark, d):
 
 
 def cluster_medoid(spark, d):
-    _, classes, pairs = _components(spark, d)
+    _, classes, pairs = _components(spark, d, far=FAR)
     return cl.medoids(classes.select("rep", "n", F.col("component").alias("cluster_id")), pairs)
 
 
-def distance_sweep(spark, d):
-    _, classes = _classes(spark, d)
-    return cl.sweep(classes, kept(_pairs(classes, 0.1), "pairs"), [0.005, 0.02, 0.1])
-
-
-def _cells(spark, d):
-    return al.long_form(alignment(spark, d))
-
-
 def core_snp_positions(spark, d):
-    return al.core_snp_positions(_cells(spark, d))
+    return al.core_snp_positions(alignment(spark, d))
 
 
 def core_snp_sequences(spark, d):
-    cells = _cells(spark, d)
-    return al.core_snp_sequences(cells, al.core_snp_positions(cells))
+    return al.core_snp_sequences(alignment(spark, d), al.core_snp_positions(alignment(spark, d)))
 
 
 def keep_atcg_columns(spark, d):
-    return al.atcg_columns(_cells(spark, d))
+    return al.atcg_columns(alignment(spark, d))
+
+
+def invariant_counts(spark, d):
+    return al.invariant_counts(al.atcg_columns(alignment(spark, d)))
 
 
 def snp_distance_pairs(spark, d):
@@ -132,20 +129,27 @@ def snp_distance_masked(spark, d):
     return al.snp_distances(al.sequence_classes(_masked(spark, d)))
 
 
+def snp_pair_table(spark, d):
+    classes = kept(al.sequence_classes(alignment(spark, d)), "classes")
+    return al.pair_table(al.snp_distances(classes), classes, alignment(spark, d))
+
+
+def num_results(spark, d):
+    return rollup.n_results(snp_pair_table(spark, d))
+
+
 def snp_vcf_rows(spark, d):
-    cells = _cells(spark, d)
-    return al.vcf_rows(cells, al.core_snp_positions(cells))
+    return al.vcf_rows(alignment(spark, d), al.core_snp_positions(alignment(spark, d)))
 
 
 def integrate_snp_offsets(spark, d):
-    return al.integrate_positions(al.core_snp_positions(_cells(spark, d)))
+    return al.integrate_positions(al.core_snp_positions(alignment(spark, d)))
 
 
 def _sample_snps(spark, d) -> DataFrame:
-    """A sample in several clusters: sequences whose id is equal modulo 100, the least of each cluster."""
-    cells = _cells(spark, d)
-    snps = al.core_snp_sequences(cells, al.core_snp_positions(cells)).withColumn("sample_id", F.col("seq_id") % 100)
-    return snps.groupBy("sample_id", "cluster_id").agg(F.min_by("seq", "seq_id").alias("seq"))
+    """A sample in several clusters: the first sequences of all clusters are one sample, the second ones another."""
+    place = F.row_number().over(Window.partitionBy("cluster_id").orderBy("seq_id")).cast("bigint")
+    return core_snp_sequences(spark, d).withColumn("sample_id", place)
 
 
 def integrate_snp_concat(spark, d):
@@ -153,9 +157,42 @@ def integrate_snp_concat(spark, d):
 
 
 def sample_cluster_mapping(spark, d):
-    totals = al.integrate_sequences(_sample_snps(spark, d)).select("sample_id", "total_snps")
-    known = read(spark, d, "embeddings").filter("label < 5").groupBy((F.col("vec_id") % 100).alias("sample_id")).agg(F.min("label").cast("string").alias("cluster_id"))
-    return al.sample_mapping(totals, known)
+    """Which cluster a sample is listed in: the first of those where its SNPs begin with A; most samples have one."""
+    snps = kept(_sample_snps(spark, d), "snps")
+    known = snps.filter(F.startswith("seq", F.lit("A"))).groupBy("sample_id").agg(F.min("cluster_id").cast("string").alias("cluster_id"))
+    return al.sample_mapping(al.integrate_sequences(snps).select("sample_id", "total_snps"), known)
+
+
+def integration_summary(spark, d):
+    return al.integration_summary(integrate_snp_concat(spark, d), core_snp_positions(spark, d))
+
+
+def integrated_report(spark, d):
+    return rollup.integrated_report(sample_cluster_mapping(spark, d))
+
+
+def alignment_digest(spark, d):
+    return sinks.alignment_digest(alignment(spark, d))
+
+
+def masked_by_tool(spark, d):
+    """Intervals of nations from one tool, of regions from another; settings ask for both."""
+    closure = recombination.tip_closure(tree(spark, d))
+    closure = closure.select(F.when(F.startswith("node", F.lit("c")), F.concat(F.lit("c"), (F.expr("substring(node, 2)").cast("bigint") - 1).cast("string"))).otherwise(F.col("node")).alias("node"), (F.expr("substring(tip, 2)").cast("bigint") - 1).alias("tip"))
+    spans = intervals(spark, d)
+    by = {"gubbins": spans.filter(F.startswith("node", F.lit("n"))), "clonalframeml": spans.filter(F.startswith("node", F.lit("r")))}
+    return workflow.masked_alignments(alignment(spark, d), by, kept(closure, "closure"), settings(recombination="both")).select("tool", "seq_id", "seq")
+
+
+def unmasked(spark, d):
+    return workflow.masked_alignments(alignment(spark, d), {}, None, settings(recombination="none")).select("tool", "seq_id", "seq")
+
+
+def plan_routes(spark, d):
+    """What the recombination-aware plan analyses, and how many sequences and core SNP columns of each cluster it keeps."""
+    frames = workflow.recombination_aware(settings(mode="recombination_aware"), alignment(spark, d), {}, None)
+    columns = frames["positions"].groupBy(F.regexp_extract("cluster_id", "([^/]*)$", 1).cast("bigint").alias("cluster_id")).agg(F.count("*").alias("n_snps"))
+    return frames["routes"].join(columns, "cluster_id", "left").select("cluster_id", "n_isolates", "route", F.coalesce("n_snps", F.lit(0)).alias("n_snps"))
 
 
 def recomb_tip_closure(spark, d):
@@ -187,36 +224,42 @@ def dedup_canonical(spark, d):
     return ds.dedup_canonical(_file_names(spark, d))
 
 
-def _metadata(spark, d) -> DataFrame:
-    p = genomes(spark, d)
-    accession = F.when(F.col("sample") % 2 == 0, F.concat(F.col("name"), F.lit(".fasta")))
-    fasta = F.when(F.col("sample") % 3 != 0, F.concat(F.col("name"), F.lit(".fasta")))
-    country = F.when(F.col("sample") % 11 == 0, F.lit(" ")).otherwise(F.col("country"))
-    return p.select("sample", accession.alias("accession"), fasta.alias("fasta_name"), country.alias("country"), "subregion", "date")
-
-
 def _records(spark, d) -> DataFrame:
     g = genomes(spark, d)
-    return ds.join_metadata(g.select("sample", "path"), _metadata(spark, d).withColumnRenamed("sample", "line"), "line").join(g.select("sample", "name"), "sample")
+    return ds.join_metadata(g.select("sample", "path"), metadata(spark, d), "line").join(g.select("sample", "name"), "sample")
 
 
 def metadata_two_key_join(spark, d):
     return _records(spark, d).drop("name")
 
 
-def _grouped(spark, d) -> DataFrame:
-    """Records with group_id, rank and is_representative; links within a country at the usual threshold."""
+def unmatched_genomes(spark, d):
+    records = _records(spark, d)
+    return ds.unmatched(records, True).unionByName(ds.unmatched(records, False))
+
+
+def matched_genomes(spark, d):
+    return ds.matched_only(_records(spark, d), True).select("sample", "country", "matched")
+
+
+def _country_links(spark, d, records, threshold) -> DataFrame:
+    """Links (a, b, distance) of samples of one country."""
     sketches, classes = _classes(spark, d)
-    links = sk.edges_within(_pairs(classes, THRESHOLD), THRESHOLD)
+    links = sk.edges_within(_pairs(classes, threshold), threshold)
     members = sk.class_members(sketches, classes, "doc_id")
     # equal sketches are links of distance 0; across classes every country needs a link of its own
-    records = _records(spark, d)
-    home = members.withColumnRenamed("doc_id", "sample").join(records.select("sample", "country"), "sample")
+    home = kept(members.withColumnRenamed("doc_id", "sample").join(records.select("sample", "country"), "sample"), "home")
     own = home.groupBy("rep", "country").agg(F.min("sample").alias("first"))
     inside = home.join(own, ["rep", "country"]).select(F.col("first").alias("a"), F.col("sample").alias("b"), F.lit(0.0).alias("distance")).filter("a <> b")
     one, two = own.select(F.col("rep").alias("a"), "country", F.col("first").alias("x")), own.select(F.col("rep").alias("b"), "country", F.col("first").alias("y"))
     across = links.join(one, "a").join(two, ["b", "country"]).select(F.col("x").alias("a"), F.col("y").alias("b"), "distance")
-    groups = ds.dereplicate(records, inside.unionByName(across), THRESHOLD)
+    return inside.unionByName(across)
+
+
+def _grouped(spark, d) -> DataFrame:
+    """Records with group_id, rank and is_representative; links within a country at the usual threshold."""
+    records = kept(_records(spark, d), "records")
+    groups = ds.dereplicate(records, _country_links(spark, d, records, THRESHOLD), THRESHOLD)
     ranked = ds.rank_in_group(records.join(groups, "sample"))
     return kept(ranked.withColumn("is_representative", F.col("rank") == 1), "grouped")
 
@@ -229,33 +272,58 @@ def representative_rank(spark, d):
     return _grouped(spark, d).select("sample", "group_id", F.col("rank").cast("bigint").alias("rank"), "is_representative")
 
 
-def _selected(spark, d) -> DataFrame:
+def derep_sweep(spark, d):
+    records = kept(_records(spark, d), "records")
+    return ds.sweep(records, _country_links(spark, d, records, 0.1), [0.005, 0.02, 0.1])
+
+
+def _chosen(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(grouped records, representatives with turn and kept): quotas of what study isolates leave of the target."""
+    s = settings(target_total=425, min_per_country=30, max_per_country=250)
     grouped = _grouped(spark, d)
     reps = grouped.filter("is_representative")
-    # a fixed share of each country, so that SQL can say the same
-    keep = reps.groupBy("country").agg(F.ceil(F.count("*") / 4).cast("bigint").alias("keep"))
-    chosen = ds.round_robin(reps, keep).select("sample", "turn", "kept")
-    return grouped.join(chosen, "sample", "left")
+    keep = ds.quotas(reps, ds.budget_left(s.target_total, study(spark, d).count()), s.min_per_country, s.max_per_country)
+    return grouped, ds.round_robin(reps, keep, s.seed).select("sample", "country", "subregion", "path", "turn", "kept")
+
+
+def quota_allocate(spark, d):
+    reps = _grouped(spark, d).filter("is_representative")
+    return ds.quotas(reps, ds.budget_left(425, study(spark, d).count()), 30, 250)
 
 
 def round_robin_select(spark, d):
-    return _selected(spark, d).filter("is_representative").select("sample", "country", "subregion", F.col("turn").cast("bigint").alias("turn"), "kept")
+    return _chosen(spark, d)[1].select("sample", "country", "subregion", F.col("turn").cast("bigint").alias("turn"), "kept")
 
 
 def selection_report(spark, d):
-    role = F.when(F.col("is_representative"), "representative").otherwise("redundant")
-    reason = F.when(~F.col("is_representative"), "near-identical to representative").when(F.col("kept"), "selected").otherwise("country quota")
-    return _selected(spark, d).select("sample", F.lit("contextual").alias("source"), "country", "subregion", "date", "group_id", role.alias("role"), F.coalesce("kept", F.lit(False)).alias("kept"), reason.alias("reason"))
+    return ds.selection_report(*_chosen(spark, d), ds.study_rows(study(spark, d)))
+
+
+def samplesheet(spark, d):
+    return ds.samplesheet(ds.study_rows(study(spark, d)), _chosen(spark, d)[1].filter("kept"))
 
 
 def country_summary(spark, d):
-    return ds.country_summary(_selected(spark, d))
+    grouped, chosen = _chosen(spark, d)
+    return ds.country_summary(grouped.join(chosen.select("sample", "kept"), "sample", "left"))
 
 
 def _logs(spark, d) -> DataFrame:
-    o = read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("p"))
+    o = read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.floor("o_totalprice").cast("bigint").alias("p"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
     code = F.when(F.col("k") % 5 == 0, F.lit(None).cast("string")).when(F.col("k") % 5 == 1, "NA").when(F.col("k") % 5 == 2, "3").otherwise("0")
-    return o.select("k", (F.col("k") % 13 == 0).alias("skipped"), (F.col("k") % 17 == 0).alias("failed"), code.alias("code"), (F.col("k") % 9).alias("n"), (F.col("k") % 23).alias("sites"), (F.col("k") % 3 * 100).alias("tree_bytes"), (F.col("k") % 4 * 10).alias("log_bytes"))
+    return o.select("k", "p", "status", "priority", (F.col("k") % 13 == 0).alias("skipped"), (F.col("k") % 17 == 0).alias("failed"), code.alias("code"), (F.col("k") % 9).alias("n"), (F.col("k") % 23).alias("sites"), (F.col("k") % 3 * 100).alias("tree_bytes"), (F.col("k") % 4 * 10).alias("log_bytes"))
+
+
+def _log_lines(logs: DataFrame) -> DataFrame:
+    """(path, value): what a run of each cluster wrote to its log; orders that are pending have none."""
+    says = lambda when, *parts: F.when(when, F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts)))
+    always = F.lit(True)
+    lines = F.array(
+        says(always, "Sequence count: ", F.col("n")), says(F.col("n") > 0, "Alignment length (non-header chars): ", F.col("p")), says(F.col("n") == 0, "ERROR: Alignment file missing or empty"),
+        says(F.col("p") % 2 == 0, "Starting tree present: yes (", F.col("p"), " bytes)"), says(F.col("p") % 2 == 1, "Starting tree: (none provided)"), says(F.col("skipped"), "Too few: skipping Gubbins"),
+        says(F.col("failed"), "ERROR: Gubbins failed; going on"), says(F.col("code").isNotNull(), "Gubbins exit code: ", F.col("code")),
+    )
+    return logs.filter("status <> 'P'").select(F.col("k").cast("string").alias("path"), F.explode(F.array_compact(lines)).alias("value"))
 
 
 def gubbins_status_case(spark, d):
@@ -269,21 +337,110 @@ def confidence_tier(spark, d):
 
 
 def phylogeny_summary(spark, d):
-    a = alignment(spark, d)
-    sizes = a.groupBy("cluster_id").agg(F.count("*").alias("n_isolates"))
-    logs = _logs(spark, d).withColumnRenamed("k", "cluster_id").filter("cluster_id < 40")
-    state = gubbins_status_case(spark, d).withColumnRenamed("k", "cluster_id").filter("cluster_id < 40")
-    diagnostics = state.join(logs, "cluster_id").filter("cluster_id % 2 = 0").select("cluster_id", "gubbins_status", F.col("sites").alias("n_filtered_polymorphic_sites"))
-    return rollup.phylogeny_summary(sizes, diagnostics, state.filter("cluster_id % 3 = 0").select("cluster_id", "iqtree_status"), rollup.alignment_sizes(a).drop("n_sequences"))
+    """Clusters of sequences, and of orders: logs unless pending, trees unless of low priority, filtered alignments if filled."""
+    logs = _logs(spark, d)
+    diagnostics = readers.diagnostics_of(_log_lines(logs)).select(F.col("path").cast("bigint").alias("cluster_id"), "seq_count", "alignment_length", "starting_tree", "skipped", "failed", "code", "empty_input")
+    key = F.col("k").alias("cluster_id")
+    grown = logs.filter("priority <> '5-LOW'").select(key, "tree_bytes", F.lit("(a,b);").alias("tree_text"), "log_bytes")
+    filtered = logs.filter("status = 'F'").select(key, F.col("n").alias("n_records"), F.col("sites").alias("n_columns"))
+    blocks = logs.filter("status = 'O'").select(key, (F.col("k") % 7).alias("n_blocks"))
+    return rollup.phylogeny_summary(cl.sizes(alignment(spark, d)), diagnostics, grown, filtered, blocks)
 
 
 def analysis_statistics(spark, d):
-    a = alignment(spark, d)
-    sizes, positions = cl.sizes(a), al.core_snp_positions(al.long_form(a))
-    return rollup.statistics(
-        samples=(a, F.count("*")), clusters=(sizes, F.count("*")), largest_cluster=(sizes, F.max("n_isolates")), smallest_cluster=(sizes, F.min("n_isolates")),
-        singletons=(sizes, F.count_if(F.col("n_isolates") == 1)), snp_positions=(positions, F.count("*")), multiallelic_positions=(positions, F.count_if(F.length("alt_bases") > 1)),
-        alignment_columns=(a, F.max(F.length("seq"))),
+    leaves = graft_trees(spark, d).select(F.col("n_tips").alias("n_leaves"))
+    return rollup.analysis_statistics(alignment(spark, d), integrate_snp_concat(spark, d), leaves)
+
+
+def error_rollup(spark, d):
+    """Events as errors of tasks: nobody's if the user is the first."""
+    e = read(spark, d, "events")
+    errors = e.select(
+        F.when(F.col("user_id") % 50 == 1, "").otherwise(F.col("user_id").cast("string")).alias("sample"), F.col("event_type").alias("process"), F.floor("value").cast("string").alias("error"),
+        F.concat(F.lit("/work/"), F.col("event_id").cast("string")).alias("folder"), F.lit("run").alias("run"), "event_id",
+    )
+    return rollup.error_rollup(errors, "event_id").drop("event_id")
+
+
+def failed_tasks(spark, d):
+    """Work folders of suppliers as tasks that ended with an exit code."""
+    s = read(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("n"), F.floor("s_acctbal").cast("string").alias("b"))
+    line = lambda file, no, *parts: F.struct(F.lit(file).alias("file"), F.lit(no).alias("line_no"), F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts)).alias("value"))
+    lines = F.array(
+        line(".command.run", 1, "### NEXTFLOW TASK: A:B:STEP_", F.col("n"), " (x)"), line(".command.run", 2, "-name nf-", F.col("k"), "(", F.col("name"), ")"),
+        line(".command.err", 1, "starts"), line(".command.err", 2, "[31m]stopped at ", F.col("b"), "[0m]"), line(".exitcode", 1, F.when(F.col("n") > 12, "137").otherwise("1")),
+    )
+    rows = s.select(F.concat(F.lit("/work/"), F.col("k").cast("string")).alias("folder"), F.explode(lines).alias("x")).select("folder", "x.*")
+    return rollup.failed_tasks(rows)
+
+
+def _assemblies(spark, d) -> DataFrame:
+    return genomes(spark, d).select(F.col("sample").alias("sample_id"), F.col("path").alias("file"))
+
+
+def cluster_assembly_lists(spark, d):
+    lists = workflow.cluster_assemblies(_clusters(spark, d), _assemblies(spark, d))
+    return lists.select("cluster_id", F.size("files").cast("bigint").alias("n"), F.array_join("files", ",").alias("files"))
+
+
+def cluster_assembly_rows(spark, d):
+    return workflow.unzipped(workflow.cluster_assemblies(_clusters(spark, d), _assemblies(spark, d)))
+
+
+def _representatives(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(members with file; cluster_id, representative: the name, without version, of each cluster's least genome)."""
+    files = kept(_clusters(spark, d).join(genomes(spark, d).select(F.col("sample").alias("sample_id"), "path", "name"), "sample_id"), "files")
+    least = files.groupBy("cluster_id").agg(F.min_by("name", "sample_id").alias("name"), F.min("sample_id").alias("sample_id"))
+    # some by full name, some without version, some by a name that no file has
+    label = F.when(F.col("sample_id") % 3 == 0, F.col("name")).when(F.col("sample_id") % 3 == 1, F.substring_index("name", ".", 1)).otherwise(F.lit("other"))
+    return files, least.select("cluster_id", label.alias("representative"))
+
+
+def representative_files(spark, d):
+    files, representatives = _representatives(spark, d)
+    return workflow.representative_files(representatives, files.select("cluster_id", F.col("path").alias("file")))
+
+
+def alignment_references(spark, d):
+    """Each cluster of three or more with the file it is aligned to: its representative's."""
+    files, representatives = _representatives(spark, d)
+    found = workflow.representative_files(representatives, files.select("cluster_id", F.col("path").alias("file")))
+    viable = cl.route(cl.sizes(files)).filter("route = 'viable'").select("cluster_id", "n_isolates")
+    return workflow.alignment_references(viable, found, settings())
+
+
+def global_references(spark, d):
+    """The same aligned to the one largest genome."""
+    files, representatives = _representatives(spark, d)
+    found = workflow.representative_files(representatives, files.select("cluster_id", F.col("path").alias("file")))
+    viable = cl.route(cl.sizes(files)).filter("route = 'viable'").select("cluster_id", "n_isolates")
+    largest = qc.largest(genomes(spark, d).select("path", "size"), "path", "size").select(F.col("path").alias("file"))
+    return workflow.alignment_references(viable, found, settings(use_global_reference=True), largest)
+
+
+def without_reference(spark, d):
+    g = genomes(spark, d)
+    return qc.without_reference(g.select("sample", "name"), qc.largest(g.select("name", "size"), "name", "size"), "name")
+
+
+def alignments_with_trees(spark, d):
+    """Alignments of clusters with their starting trees, matched one to one; only clusters that have both."""
+    a = rollup.alignment_sizes(alignment(spark, d)).withColumn("cluster_id", F.col("cluster_id").cast("string"))
+    trees_ = _logs(spark, d).filter("priority <> '5-LOW'").select(F.col("k").cast("string").alias("cluster_id"), "tree_bytes")
+    return workflow.one_to_one(a, trees_, "cluster_id")
+
+
+def cluster_summary_lines(spark, d):
+    return cl.summary_lines(cl.sizes(_clusters(spark, d)))
+
+
+def number_formats(spark, d):
+    p = read(spark, d, "part")
+    price = F.col("p_retailprice")
+    return p.select(
+        "p_partkey", fn.fixed(F.col("p_size") / 8, 2).alias("two"), fn.thousands(F.floor(price * 1000)).alias("grouped"), fn.ending(F.concat("p_name", F.lit(".fa."), "p_brand")).alias("ending"),
+        fn.strip_quotes(F.concat(F.lit("'"), "p_name", F.lit("'"))).alias("label"), fn.at_most(F.col("p_size"), F.lit(16)).alias("cpus"), fn.runtime_hours(F.col("p_size") * 7).alias("hours"),
+        fn.base_name(F.concat(F.lit("/a/"), "p_brand")).alias("base"), fn.drop_reference_suffix(F.concat("p_brand", F.lit(".ref"))).alias("bare"),
     )
 
 
@@ -306,8 +463,8 @@ def split_kmer_columns(spark, d):
     return al.split_kmers(alignment(spark, d), "seq_id", "seq", flank=2)
 
 
-def quota_allocate(spark, d):
-    return ds.quotas(genomes(spark, d), 400, 30, 250)
+def split_kmer_strands(spark, d):
+    return al.split_kmers(alignment(spark, d), "seq_id", "seq", flank=2, both_strands=True)
 
 
 def _unique_per_cluster(spark, d):
@@ -320,15 +477,29 @@ def nj_tree(spark, d):
     return trees.nj_trees(pairs, classes.select("cluster_id", F.col("rep").alias("name")))
 
 
-def graft_trees(spark, d):
-    """A backbone of nations for each region, and a star of customers for each nation."""
-    n, c = read(spark, d, "nation"), read(spark, d, "customer")
+def _trees(spark, d) -> tuple[DataFrame, DataFrame]:
+    """A backbone of nations for each region; clusters: a star of customers for each nation, and one of suppliers for each,
+    whose representative no backbone has; nobody's is empty."""
+    n = read(spark, d, "nation")
     tip = F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))
-    star = lambda x: F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list(x)), ","), F.lit(");"))
-    backbones = n.groupBy(F.col("n_regionkey").cast("string").alias("tree_id")).agg(star(F.concat(tip, F.lit(":0.5"))).alias("newick"))
-    people = c.groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit(":0.1")))), ",").alias("tips"))
-    clusters = people.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_regionkey").cast("string").alias("tree_id"), tip.alias("cluster_id"), F.concat(F.lit("("), tip, F.lit(":0.2,("), "tips", F.lit("):0.3);")).alias("newick"), tip.alias("representative"))
-    return trees.graft_trees(backbones, clusters)
+    backbones = n.groupBy(F.col("n_regionkey").cast("string").alias("tree_id")).agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list(F.concat(tip, F.lit(":0.5")))), ","), F.lit(");")).alias("newick"))
+
+    def stars(table, key, nation, letter):
+        tips = F.array_join(F.array_sort(F.collect_list(F.concat(F.lit(letter), F.col(key).cast("string"), F.lit(":0.1")))), ",")
+        people = n.join(read(spark, d, table).groupBy(F.col(nation).alias("n_nationkey")).agg(tips.alias("tips")), "n_nationkey", "left")
+        name = F.concat(F.lit("N" if letter == "c" else "S"), F.col("n_nationkey").cast("string"))
+        newick = F.when(F.col("tips").isNotNull(), F.concat(F.lit("("), name, F.lit(":0.2,("), "tips", F.lit("):0.3);")))
+        return people.select(F.col("n_regionkey").cast("string").alias("tree_id"), name.alias("cluster_id"), F.coalesce(newick, F.lit("")).alias("newick"), name.alias("representative"))
+
+    return backbones, stars("customer", "c_custkey", "c_nationkey", "c").unionByName(stars("supplier", "s_suppkey", "s_nationkey", "s"))
+
+
+def graft_trees(spark, d):
+    return trees.graft_trees(*_trees(spark, d))
+
+
+def graft_report(spark, d):
+    return trees.graft_report(*_trees(spark, d))
 
 
 def newick_edges(spark, d):
@@ -340,9 +511,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         minhash_sketch, mash_distance_pairs, mash_edges_threshold, mash_matrix_long, cluster_components, cluster_sizes, cluster_size_classes, cluster_split_oversize,
-        cluster_route_by_size, cluster_merge_small, cluster_medoid, distance_sweep, core_snp_positions, core_snp_sequences, keep_atcg_columns, snp_distance_pairs,
-        snp_distance_masked, snp_vcf_rows, integrate_snp_offsets, integrate_snp_concat, sample_cluster_mapping, recomb_tip_closure, mask_positions, qc_pass_fail, qc_gate,
-        reference_largest, dedup_canonical, metadata_two_key_join, derep_within_group, representative_rank, country_summary, round_robin_select, selection_report,
-        gubbins_status_case, confidence_tier, phylogeny_summary, analysis_statistics, parse_names, parse_year, split_kmer_columns, quota_allocate, nj_tree, graft_trees, newick_edges,
+        cluster_route_by_size, cluster_merge_small, cluster_medoid, cluster_summary_lines, core_snp_positions, core_snp_sequences, keep_atcg_columns, invariant_counts,
+        snp_distance_pairs, snp_pair_table, num_results, snp_distance_masked, snp_vcf_rows, integrate_snp_offsets, integrate_snp_concat, sample_cluster_mapping,
+        integration_summary, integrated_report, alignment_digest, recomb_tip_closure, mask_positions, masked_by_tool, unmasked, plan_routes, qc_pass_fail, qc_gate,
+        reference_largest, without_reference, dedup_canonical, metadata_two_key_join, unmatched_genomes, matched_genomes, derep_within_group, representative_rank,
+        derep_sweep, quota_allocate, round_robin_select, selection_report, samplesheet, country_summary, gubbins_status_case, confidence_tier, phylogeny_summary,
+        analysis_statistics, error_rollup, failed_tasks, cluster_assembly_lists, cluster_assembly_rows, representative_files, alignment_references, global_references,
+        alignments_with_trees, number_formats, parse_names, parse_year, split_kmer_columns, split_kmer_strands, nj_tree, graft_trees, graft_report, newick_edges,
     )
 }

@@ -19,6 +19,11 @@ class Settings:
     graft: bool = True
     graft_mode: str = "keep"
     seed: int = 42
+    use_global_reference: bool = False
+    target_total: int = 0
+    min_per_country: int = 1
+    max_per_country: int = 1 << 30
+    drop_unmatched: bool = True
 
 
 MODES, RECOMBINATION, GRAFTS = ("standard", "scalable", "recombination_aware"), ("none", "gubbins", "clonalframeml", "both"), ("keep", "zero")

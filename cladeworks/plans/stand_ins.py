@@ -13,16 +13,37 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sample, path, name, country, subregion, date, size."""
+    """sample, path, name, country, subregion, date, size. Subregions differ in case and blanks, some say nothing."""
     d = read(spark, sf_dir, "documents")
-    name = F.concat(F.when(F.col("doc_id") % 3 == 0, "GCF_").otherwise("GCA_"), F.col("doc_id").cast("string"), F.lit("."), (F.col("doc_id") % 4).cast("string"))
+    number = F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit("."), (F.col("doc_id") % 4).cast("string"))
+    name = F.concat(F.when(F.col("doc_id") % 6 == 0, "gcf_").when(F.col("doc_id") % 3 == 0, "GCF_").otherwise("GCA_"), number)
     date = F.when(F.col("doc_id") % 7 == 0, F.lit("unknown")).when(F.col("doc_id") % 7 == 1, F.concat(F.lit("May "), (1990 + F.col("n_chars") % 30).cast("string"))).otherwise(F.concat((1990 + F.col("n_chars") % 30).cast("string"), F.lit("-05")))
+    subregion = F.when(F.col("doc_id") % 5 == 0, F.lit("NA")).when(F.col("doc_id") % 11 == 0, F.lit(" Unknown")).when(F.col("doc_id") % 4 == 0, F.upper("source")).when(F.col("doc_id") % 4 == 1, F.concat(F.lit(" "), "source", F.lit(" ")))
     return d.select(
         F.col("doc_id").alias("sample"), F.concat(F.lit("/in/"), "source", F.lit("/"), name, F.lit(".fasta")).alias("path"), name.alias("name"), F.col("lang").alias("country"),
-        F.when(F.col("doc_id") % 5 == 0, F.lit("NA")).otherwise(F.col("source")).alias("subregion"), date.alias("date"), F.col("n_chars").alias("size"),
+        subregion.otherwise(F.col("source")).alias("subregion"), date.alias("date"), F.col("n_chars").alias("size"),
     )
 
 
+def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """line, accession, fasta_name, sample, country, subregion, date: ids of another version or spelling, some rows without any
+    of a genome's, and later rows of ids that were there before."""
+    g = genomes(spark, sf_dir).withColumn("k", F.col("sample"))
+    version, stem = (F.col("k") % 4 + 1).cast("string"), F.substring_index("name", ".", 1)
+    accession = F.when(F.col("k") % 2 == 0, F.concat(stem, F.lit("."), version, F.lit(".fasta")))
+    spelled = F.when(F.col("k") % 3 == 1, F.concat(F.translate("name", ".", "_"), F.lit(".fasta")))
+    sample = F.when(F.col("k") % 5 == 0, F.concat(F.lit(" "), "name", F.lit(".fa")))
+    country = F.when(F.col("k") % 11 == 0, F.lit(" ")).otherwise(F.concat("country", F.lit(" ")))
+    first = g.select((F.col("k") * 2).alias("line"), accession.alias("accession"), spelled.alias("fasta_name"), sample.alias("sample"), country.alias("country"), "subregion", "date")
+    again = g.filter(accession.isNotNull()).select((F.col("k") * 2 + 1).alias("line"), F.lit(None).cast("string").alias("accession"), accession.alias("fasta_name"), F.lit("").alias("sample"), F.lit("elsewhere").alias("country"), F.lit("x").alias("subregion"), F.lit("1980").alias("date"))
+    return first.unionByName(again)
+
+
+def study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path of study isolates: a file for each nation."""
+    return read(spark, sf_dir, "nation").select(F.concat(F.lit("/study/"), "n_name", F.lit(".fasta")).alias("path"))
+
+
 def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """cluster_id, seq_id, seq: a base for each of an embedding's numbers."""
     base = lambda x: F.when(F.abs(x) < 0.01, "N").when(x < -0.085, "A").when(x < 0, "C").when(x < 0.085, "G").otherwise("T")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import has_ending, normalize_name
@@ -45,22 +45,59 @@ def sequence_files(spark: SparkSession, folder: str, recursive: bool = True, gz:
     """(path, size) of the sequence files of a folder, without reading them."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     rows = reader.load(folder).select("path", F.col("length").alias("size"))
-    return require_rows(rows.filter(has_ending(F.col("path"), gz=gz)), "sequence file")
+    return require_rows(rows.filter(has_ending(F.col("path"), gz=gz)), "sequence file").orderBy("path")
 
 
 def fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(sample, path, contig_ord, header, seq) of FASTA files, gzipped ones too; a record is one row.
 
-    Files are split at record starts, so a large file spreads over tasks (a gzipped one cannot).
+    Files are split at record starts, so a large file spreads over tasks (a gzipped one cannot). Records are numbered by
+    block of the file: a row for each block says how many records come before it, so no task needs a whole file.
     """
     text = spark.read.option("lineSep", "\n>").text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     value = F.regexp_replace("value", "^>", "")
     lines = F.split(F.replace(value, F.lit("\r"), F.lit("")), "\n", 2)
     rows = text.filter(F.length(F.trim("value")) > 0).select("path", "block", "at", F.trim(lines[0]).alias("header"), F.regexp_replace(F.coalesce(F.get(lines, F.lit(1)), F.lit("")), r"\s", "").alias("seq"))
-    from pyspark.sql import Window
+    blocks = rows.groupBy("path", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select("path", "block", "first", "before")
+    # numbers of a block follow each other in its task, blank records between them aside
+    inside = F.row_number().over(Window.partitionBy("path", "block").orderBy("at"))
+    rows = rows.withColumn("k", inside).join(blocks, ["path", "block"])
+    return rows.select(normalize_name(F.regexp_replace("path", r"\.gz$", "")).alias("sample"), "path", (F.col("before") + F.col("k")).cast("int").alias("contig_ord"), "header", "seq")
 
-    order = Window.partitionBy("path").orderBy("block", "at")
-    return rows.select(normalize_name(F.regexp_replace("path", r"\.gz$", "")).alias("sample"), "path", F.row_number().over(order).alias("contig_ord"), "header", "seq")
+
+def alignments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(cluster_id, seq_id, seq) of ready alignments, one FASTA file for each cluster; the file's name is the cluster's."""
+    rows = fasta(spark, paths)
+    return rows.select(F.regexp_replace("sample", r"\.(core|aln|filtered_polymorphic_sites)$", "").alias("cluster_id"), F.substring_index("header", " ", 1).alias("seq_id"), "seq")
+
+
+def text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, value) of the lines of files."""
+    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """paths, or an error that names those that are not there; any store that Spark reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    missing = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        found = p.getFileSystem(conf).globStatus(p)
+        if found is None or not len(found):
+            missing.append(path)
+    if missing:
+        raise ValueError("no such input: " + ", ".join(missing))
+    return paths
+
+
+def cluster_ids(spark: SparkSession, diagnostics_dir: str, trees_dir: str) -> DataFrame:
+    """(cluster_id): named by the logs of one folder and the trees of another, in order."""
+    listed = lambda folder, suffix: (
+        spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select(F.replace(F.element_at(F.split("path", "/"), -1), F.lit(suffix), F.lit("")).alias("cluster_id"))
+    )
+    return listed(diagnostics_dir, ".diagnostics.log").union(listed(trees_dir, ".final.treefile")).distinct().orderBy("cluster_id")
 
 
 def mash_table(spark: SparkSession, path: str) -> DataFrame:
@@ -91,8 +128,6 @@ def distances(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _triangle(lines: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
     parts = F.split(F.trim("value"), r"\t")
     # the number of fields of a row is its place in the triangle
     rows = lines.filter(~F.col("value").rlike(r"^\s*\d+\s*$") & (F.length(F.trim("value")) > 0)).select(parts[0].alias("a"), F.slice(parts, 2, F.size(parts)).alias("d"))
@@ -147,12 +182,20 @@ def qc_checks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def diagnostics(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, skipped, failed, code, empty_input) of diagnostics logs."""
+    """(path, cluster_id, seq_count, alignment_length, starting_tree, skipped, failed, code, empty_input) of logs."""
     rows = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
-    code = F.regexp_extract("value", r"[Gg]ubbins exit code:?\s*(\S+)", 1)
-    return rows.groupBy("path").agg(
-        F.max(F.contains("value", F.lit("skipping Gubbins"))).alias("skipped"), F.max(F.startswith("value", F.lit("ERROR: Gubbins failed"))).alias("failed"),
-        F.max(F.nullif(code, F.lit(""))).alias("code"), F.max(F.startswith("value", F.lit("ERROR: Alignment file missing or empty"))).alias("empty_input"),
+    return diagnostics_of(rows).withColumn("cluster_id", F.replace(F.element_at(F.split("path", "/"), -1), F.lit(".diagnostics.log"), F.lit("")))
+
+
+def diagnostics_of(lines: DataFrame) -> DataFrame:
+    """What the lines (path, value) of each log say, a row for each path; counts are null where no line has them."""
+    found = lambda pattern: F.max(F.nullif(F.regexp_extract("value", pattern, 1), F.lit("")))
+    begins = lambda text: F.max(F.startswith("value", F.lit(text)))
+    return lines.groupBy("path").agg(
+        found(r"^Sequence count:\s*(\d+)").cast("bigint").alias("seq_count"), found(r"^Alignment length \(non-header chars\):\s*(\d+)").cast("bigint").alias("alignment_length"),
+        (found(r"^Starting tree present:.*\((\d+) bytes\)").isNotNull() & ~begins("Starting tree: (none provided)")).alias("starting_tree"),
+        F.max(F.contains("value", F.lit("skipping Gubbins"))).alias("skipped"), begins("ERROR: Gubbins failed").alias("failed"),
+        found(r"^Gubbins exit code:\s*(\S+)").alias("code"), begins("ERROR: Alignment file missing or empty").alias("empty_input"),
     )
 
 

@@ -11,6 +11,7 @@ from cladeworks.operators import downsample as ds
 from cladeworks.operators import qc, recombination, rollup, trees
 from cladeworks.operators import sketches as sk
 from cladeworks.operators.components import connected_components
+from cladeworks.plans import workflow
 from cladeworks.plans.settings import settings
 from cladeworks.sources import readers, sinks
 from cladeworks.streaming import placement
@@ -56,11 +57,41 @@ def test_small_clusters_merge(spark, sizes, expected):
 
 
 def test_core_snps_and_atcg_columns(spark):
-    cells = al.long_form(frame(spark, "cluster_id int, seq_id string, seq string", (0, "s1", "ACGTN"), (0, "s2", "ATGT-"), (0, "s3", "ACGAn")))
+    cells = frame(spark, "cluster_id int, seq_id string, seq string", (0, "s1", "ACGTN"), (0, "s2", "ATGT-"), (0, "s3", "ACGAn"))
     positions = al.core_snp_positions(cells)
     assert rows(positions, "position", "ref_base", "alt_bases") == [(2, "C", "T"), (4, "A", "T")]
     assert rows(al.core_snp_sequences(cells, positions), "seq_id", "seq") == [("s1", "CT"), ("s2", "TT"), ("s3", "CA")]
     assert rows(al.atcg_columns(cells), "position") == [(1,), (2,), (3,), (4,)]
+    assert rows(al.atcg_sequences(cells, al.atcg_columns(cells)), "seq") == [("ACGA",), ("ACGT",), ("ATGT",)]
+
+
+def test_column_operators_over_several_masks(spark):
+    rng = np.random.default_rng(4)
+    seqs = ["".join(rng.choice(list("ACGTN-R"), 200, p=[0.3, 0.3, 0.3, 0.04, 0.02, 0.02, 0.02])) for _ in range(5)]
+    seqs = ["".join("A" if k % 3 else c for k, c in enumerate(s)) for s in seqs]
+    a = frame(spark, "cluster_id string, seq_id int, seq string", *[("c", i, s) for i, s in enumerate(seqs)], ("d", 9, "acgt"))
+    columns = [sorted({s[k] for s in seqs} - set("N-")) for k in range(200)]
+    snps = [k for k in range(200) if len(columns[k]) > 1]
+    found = al.core_snp_positions(a)
+    assert rows(found, "position", "ref_base", "alt_bases") == [(k + 1, columns[k][0], ",".join(columns[k][1:])) for k in snps]
+    assert rows(al.core_snp_sequences(a, found), "seq_id", "seq") == [(i, "".join("N" if s[k] in "N-" else s[k] for k in snps)) for i, s in enumerate(seqs)]
+    good = [k for k in range(200) if {s[k] for s in seqs} <= set("ACGT")]
+    assert rows(al.atcg_columns(a).filter("cluster_id = 'c'"), "position", "n_bases") == [(k + 1, len(columns[k])) for k in good]
+    assert rows(al.invariant_counts(al.atcg_columns(a), 20), "cluster_id", "n_invariant", "n_variable") == [("c", sum(len(columns[k]) == 1 for k in good[:20]), sum(len(columns[k]) > 1 for k in good[:20])), ("d", 4, 0)]
+    counts = {r["pos"]: (r["n_ref"], r["n_alt"], r["n_missing"]) for r in al.vcf_rows(a, found).collect()}
+    for k in snps:
+        n = sum(s[k] == columns[k][0] for s in seqs), sum(s[k] in columns[k][1:] for s in seqs), sum(s[k] in "N-" for s in seqs)
+        assert counts[k + 1] == n
+
+
+def test_distances_of_a_cluster_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(al, "BLOCK", 4)
+    rng = np.random.default_rng(2)
+    seqs = ["".join(rng.choice(list("ACGT-"), 70)) for _ in range(19)]
+    classes = al.sequence_classes(frame(spark, "cluster_id int, seq_id int, seq string", *[(0, i, s) for i, s in enumerate(seqs)]))
+    brute = [(i, j, sum(x != y and "-" not in (x, y) for x, y in zip(seqs[i], seqs[j]))) for i in range(19) for j in range(i + 1, 19)]
+    assert rows(al.snp_distances(classes), "a", "b", "n_snps") == brute
+    assert rows(al.snp_distances(classes, most=45), "a", "b", "n_snps") == [x for x in brute if x[2] <= 45]
 
 
 def test_snp_distances_over_several_masks(spark):
@@ -111,6 +142,130 @@ def test_round_robin(spark):
     reps = frame(spark, "sample string, country string, subregion string, date string", ("x1", "A", "x", "2010"), ("x2", "A", "x", "2012"), ("x3", "A", "x", ""), ("y1", "A", "y", "2011"))
     chosen = ds.round_robin(reps, frame(spark, "country string, keep bigint", ("A", 3)))
     assert [r["sample"] for r in chosen.filter("kept").orderBy("turn").collect()] == ["x1", "y1", "x2"]
+    # spellings of one subregion are one bucket, unknown ones another
+    mixed = frame(spark, reps.schema, ("n1", "A", "North", "2010"), ("n2", "A", " NORTH", "2011"), ("n3", "A", "north", "2012"), ("u1", "A", "NA", "2009"), ("u2", "A", "unknown", "2010"), ("s1", "A", "South", "2001"))
+    chosen = ds.round_robin(mixed, frame(spark, "country string, keep bigint", ("A", 4)))
+    assert [r["sample"] for r in chosen.orderBy("turn").collect()] == ["n1", "u1", "s1", "n2", "u2", "n3"]
+
+
+def test_metadata_is_found_by_every_id_under_both_keys(spark):
+    schema = "line int, accession string, fasta_name string, sample string, country string, subregion string, date string"
+    known = frame(
+        spark, schema, (1, None, "GCA_000000001.1.fasta", None, " X ", " north", "2001 "), (2, "GCA_000000001.2", None, None, "Y", "", ""), (3, None, None, "GCA_000000002_7", "", None, None), (4, "my.odd.name.fasta", "", "", "Z", "z", "z")
+    )
+    files = frame(spark, "sample string, path string", *[(p, f"/d/{p}.fasta") for p in ("GCA_000000001.2", "GCA_000000002.3", "my.odd.name", "none")])
+    found = {r["sample"]: (r["country"], r["subregion"], r["date"], r["matched"]) for r in ds.join_metadata(files, known, "line").collect()}
+    assert found == {"GCA_000000001.2": ("X", "north", "2001", True), "GCA_000000002.3": ("Unknown", "", "", True), "my.odd.name": ("Z", "z", "z", True), "none": ("Unknown", "", "", False)}
+    records = ds.join_metadata(files, known.drop("sample"), "line")
+    assert rows(ds.unmatched(records, True), "filename", "disposition") == [("GCA_000000002.3.fasta", "dropped"), ("none.fasta", "dropped")]
+    assert ds.matched_only(records, True).count() == 2 and ds.matched_only(records, False).count() == 4
+
+
+def test_names_of_reference_sequences_in_any_case(spark):
+    grouped = frame(spark, "sample int, group_id int, subregion string, name string, date string", (1, 0, "x", "GCA_1", "1999"), (2, 0, "x", "gcf_2", "2005"), (3, 0, "NA", "GCF_3", "1990"))
+    assert rows(ds.rank_in_group(grouped), "rank", "sample") == [(1, 2), (2, 1), (3, 3)]
+
+
+def test_sweep_within_countries_and_study_rows(spark):
+    records = frame(spark, "sample string, country string", ("a", "X"), ("b", "X"), ("c", "X"), ("d", "Y"))
+    edges = frame(spark, "a string, b string, distance double", ("a", "b", 0.01), ("b", "c", 0.05), ("c", "d", 0.0))
+    assert rows(ds.sweep(records, edges, [0.0, 0.01, 0.05]), "derep_threshold", "n_groups_kept", "fraction_removed") == [(0.0, 4, "0.0000"), (0.01, 3, "0.2500"), (0.05, 2, "0.5000")]
+    study = ds.study_rows(frame(spark, "path string", ("/s/my isolate.fasta",)))
+    grouped = frame(spark, "sample string, country string, subregion string, date string, group_id string, is_representative boolean", ("a", "X", "", "", "a", True), ("b", "X", "", "", "a", False), ("d", "Y", "", "", "d", True))
+    chosen = frame(spark, "sample string, kept boolean, path string", ("a", True, "/a"), ("d", False, "/d"))
+    report = ds.selection_report(grouped, chosen, study)
+    assert rows(report, "sample", "source", "kept", "reason") == [("a", "contextual", "yes", "kept"), ("b", "contextual", "no", "redundant_to:a"), ("d", "contextual", "no", "dropped_by_country_cap"), ("my_isolate", "study", "yes", "study_isolate")]
+    assert rows(ds.samplesheet(study, chosen.filter("kept")), "part", "sample") == [(0, "my_isolate"), (1, "a")]
+    assert ds.budget_left(10, 25) == 0 and ds.budget_left(30, 25) == 5
+
+
+def test_components_with_a_hot_node(spark, monkeypatch):
+    from cladeworks.operators import components
+
+    monkeypatch.setattr(components, "hot_rows", lambda total: 5)
+    edges = spark.range(1, 400).select(F.when(F.col("id") % 2 == 0, 0).otherwise(500).alias("a"), "id")
+    edges = edges.union(spark.createDataFrame([(600, 601), (601, 602)], "a int, id bigint"))
+    found = components.connected_components(edges, "a", "id")
+    assert rows(found.groupBy("component").count(), "component", "count") == [(0, 200), (1, 201), (600, 3)]
+
+
+def test_joins_that_split_hot_keys(spark):
+    from cladeworks.operators.skew import split_join
+
+    left = spark.range(3000).select(F.when(F.col("id") < 2500, 7).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.range(0, 4000, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    assert rows(split_join(left, right, "k", "id"), "k", "id", "v") == rows(left.join(right, "k"), "k", "id", "v")
+    assert split_join(left, right, "k", "id", "left").count() == 3000
+
+
+def test_linking_clusters_assemblies_and_representatives(spark):
+    members = frame(spark, "cluster_id string, sample_id string", ("c0", "b"), ("c0", "a"), ("c0", "x"), ("c0", "z"), ("c1", "d"))
+    files = frame(spark, "sample_id string, file string", ("a", "/a.fa"), ("b", "/b.fa"), ("x", "/x.fa"), ("d", "/d.fa"))
+    lists = workflow.cluster_assemblies(members, files)
+    assert lists.collect() == [("c0", ["a", "b", "x"], ["/a.fa", "/b.fa", "/x.fa"])]
+    assert rows(workflow.unzipped(lists), "sample_id", "file") == [("a", "/a.fa"), ("b", "/b.fa"), ("x", "/x.fa")]
+    with pytest.raises(ValueError, match="repeated"):
+        workflow.one_to_one(files, files.union(files), "sample_id")
+    of = frame(spark, "cluster_id string, file string", ("p", "GCA_1_1.2.fasta"), ("p", "GCA_1_1.1.fasta"), ("q", "y.1.fa"), ("q", "x.fa"), ("r", "n.fa"))
+    reps = frame(spark, "cluster_id string, representative string", ("p", "GCA_1_1"), ("q", "x"), ("r", "other"), ("s", "none"))
+    assert rows(workflow.representative_files(reps, of), "cluster_id", "file", "match") == [("p", "GCA_1_1.1.fasta", "version"), ("q", "x.fa", "exact"), ("r", "n.fa", "any"), ("s", None, "none")]
+    with pytest.raises(ValueError, match="one global"):
+        workflow.with_reference(members, files)
+
+
+def test_plans_that_settings_choose(spark):
+    a = frame(spark, "cluster_id int, seq_id string, seq string", *[(0, f"s{i}", s) for i, s in enumerate(("ACGTA", "ACGAA", "TCGTA"))], (1, "t", "AC"))
+    closure = frame(spark, "node string, tip string", ("n", "s0"), ("n", "s1"), ("s0", "s0"))
+    spans = {"gubbins": frame(spark, "node string, start int, stop int", ("n", 0, 1)), "clonalframeml": frame(spark, "node string, start int, stop int", ("s0", 3, 4))}
+    tool = lambda s: rows(workflow.masked_alignments(a, spans, closure, s).filter("cluster_id = 0"), "tool", "seq")
+    assert tool(settings()) == [("none", "ACGAA"), ("none", "ACGTA"), ("none", "TCGTA")]
+    assert tool(settings(recombination="gubbins")) == [("Gubbins", "NCGAA"), ("Gubbins", "NCGTA"), ("Gubbins", "TCGTA")]
+    assert len(tool(settings(recombination="both"))) == 6
+    with pytest.raises(ValueError, match="not in the tree"):
+        workflow.masked_alignments(a, {"gubbins": frame(spark, "node string, start int, stop int", ("q", 0, 1))}, closure, settings(recombination="gubbins"))
+    frames = workflow.recombination_aware(settings(recombination="both", mode="recombination_aware"), a, spans, closure)
+    assert rows(frames["routes"], "cluster_id", "route") == [(0, "analysed"), (1, "skipped_low_information")]
+    assert rows(frames["trees"], "cluster_id", "n_tips") == [("ClonalFrameML/0", 3), ("Gubbins/0", 3)]
+
+
+def test_logs_errors_and_summaries(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/c1.diagnostics.log").write_text("Sequence count: 5\nAlignment length (non-header chars): 40\nStarting tree present: yes (9 bytes)\nGubbins exit code: 0\n")
+    (tmp_path / "d/c2.diagnostics.log").write_text("Sequence count: 2\nStarting tree: (none provided)\nsays: skipping Gubbins\nERROR: Alignment file missing or empty\n")
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/c3.final.treefile").write_text("(a,b);")
+    assert [r[0] for r in readers.cluster_ids(spark, str(tmp_path / "d"), str(tmp_path / "t")).collect()] == ["c1", "c2", "c3"]
+    logs = readers.diagnostics(spark, str(tmp_path / "d")).drop("path")
+    sizes = frame(spark, "cluster_id string, n_isolates bigint", ("c1", 5))
+    grown = frame(spark, "cluster_id string, tree_bytes bigint, tree_text string, log_bytes bigint", ("c1", 9, "(a,b);", 5), ("c3", 6, "(a,b);", 0))
+    filtered = frame(spark, "cluster_id string, n_records bigint, n_columns bigint", ("c1", 5, 12), ("c3", 4, 1))
+    blocks = frame(spark, "cluster_id string, n_blocks bigint", ("c1", 3))
+    found = {r["cluster_id"]: r for r in rollup.phylogeny_summary(sizes, logs, grown, filtered, blocks).collect()}
+    assert (found["c1"]["gubbins_status"], found["c1"]["confidence_tier"], found["c1"]["starting_tree_present"], found["c1"]["n_recombination_blocks"]) == ("completed", fn.TIERS[1], "true", 3)
+    assert (found["c2"]["gubbins_status"], found["c2"]["notes"], found["c2"]["iqtree_status"], found["c2"]["starting_tree_present"]) == ("skipped_low_information", "input_alignment_empty", "failed_no_tree", "false")
+    assert (found["c3"]["gubbins_status"], found["c3"]["n_isolates"], found["c3"]["confidence_tier"], found["c3"]["alignment_length"]) == ("no_diagnostics", 4, fn.TIERS[2], "")
+    assert len(found["c1"]) == 14
+    errors = frame(spark, "sample string, process string, error string, folder string, run string, line int", ("a", "p", "e", "/2", "r", 2), ("a", "p", "e", "/1", "r", 1), ("", "p", "e", "/3", "r", 3), (None, "p", "e", "/3", "r", 3))
+    assert rows(rollup.error_rollup(errors, "line"), "sample", "folder") == [("a", "/1")]
+    text, _ = sinks.report(rollup.statistics(**{f"m{i}": (spark.range(1), F.count("*")) for i in range(12)}), "Run")
+    assert text.count(": 1") == 12
+    none = rollup.analysis_statistics(frame(spark, "cluster_id string"), frame(spark, "total_snps bigint"), frame(spark, "n_leaves bigint"))
+    assert none.count() == 16 and {r["value"] for r in none.collect()} <= {"0", "0.00"}
+
+
+@pytest.mark.parametrize(("x", "text"), [(4.125, "4.12"), (4.375, "4.38"), (2.675, "2.67"), (1.005, "1.00"), (-0.125, "-0.12"), (10.0, "10.00"), (0.999, "1.00"), (1e17, "100000000000000000.00")])
+def test_numbers_as_text(spark, x, text):
+    assert one(spark, fn.fixed(F.lit(x), 2)) == text == f"{x:.2f}"
+
+
+def test_sql_functions_and_table_functions(spark):
+    from cladeworks.functions import sql
+
+    sql.register(spark)
+    row = spark.sql("select normalize_name('/a/x.1.fa'), accession_key('/a/GCA_000000001.1.fasta'), canonical_key('a.b.fa'), sequence_year('May 2019'), sanitize_sample(' a b '), known_subregion(' NA '), mash_distance(0.9, 21)").first()
+    assert tuple(row)[:6] == ("x.1", "GCA_000000001", "a_b", 2019, "a_b", False) and abs(row[6] - 0.0025746) < 1e-6
+    assert spark.sql("select count(*) from newick_edges('t', '((a:1,b:2):0.5,c);') where is_tip").first()[0] == 3
+    assert [tuple(r) for r in spark.sql("select * from fasta_records('>a b\\nAC\\nGT\\n>c\\n')").collect()] == [(1, "a b", "ACGT"), (2, "c", "")]
 
 
 @pytest.mark.parametrize(("date", "year"), [("2019-05", 2019), ("May 2019", 2019), ("20190501", 2019), ("12-2019", fn.NO_YEAR), ("", fn.NO_YEAR), (None, fn.NO_YEAR)])
@@ -237,6 +392,22 @@ def test_files_there_and_back(spark, tmp_path):
     assert rows(readers.clusters(spark, str(tmp_path / "out")), "cluster_id", "sample_id") == [("c", "x")]
     sinks.fasta(frame(spark, "seq_id string, seq string", ("a", "AC"), ("b", "")), str(tmp_path / "fa"))
     assert rows(readers.fasta(spark, str(tmp_path / "fa")), "header", "seq") == [("a", "AC")]
+    assert readers.existing(spark, [str(tmp_path / "fa")]) and readers.fasta(spark, str(tmp_path / "g")).count() == 2
+    with pytest.raises(ValueError, match="no such input"):
+        readers.existing(spark, [str(tmp_path / "not there")])
+    assert rows(rollup.fasta_counts(readers.fasta(spark, str(tmp_path / "g"))), "n_records", "n_columns") == [(2, 4)]
+    edges = frame(spark, "ref string, query string, distance double", ("b", "a", 0.5), ("a", "a", 0.0))
+    sinks.matrix(edges, str(tmp_path / "matrix"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "matrix")).collect()] == ["\ta\tb", "a\t0.0\t", "b\t0.5\t"]
+    assert rows(readers.distance_matrix(spark, str(tmp_path / "matrix")), "ref", "query") == [("a", "a"), ("b", "a")]
+    said = []
+    done = sinks.publish({"clusters/members": frame(spark, "cluster_id string", ("c",))}, str(tmp_path / "pub"), log=said.append)
+    assert list(done.values()) == [1] and "Clusters/members.tsv" in said[0]
+    sinks.samplesheet(frame(spark, "part int, sample string, file string", (1, "b", "/b"), (1, "a", "/a"), (0, "z", "/z")), str(tmp_path / "sheet"))
+    assert [r["sample"] for r in spark.read.csv(str(tmp_path / "sheet"), header=True).collect()] == ["z", "a", "b"]
+    report = frame(spark, "tree_id string, cluster_id string, representative string, status string", ("t", "c", "r", "grafted"), ("t", "d", "s", "skipped_empty"))
+    sinks.graft_log(report, str(tmp_path / "log"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "log")).collect()][-1] == "t: 2 cluster trees, 1 grafted, 1 not"
     text, page = sinks.report(rollup.statistics(n=(spark.range(3), F.count("*"))), "Run <1>")
     assert "n: 3" in text and "&lt;1&gt;" in page
 
