@@ -8,11 +8,11 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.shared import ship
+from ..plans.shared import dealt, ship
 
 #: Rows and bytes of one Arrow batch that the JVM sends, and bytes that a Python stage works on at once: its arrays take
 #: many times the bytes of their texts. One text may be longer than this; it is then worked on alone.
-BATCH_ROWS, BATCH_BYTES, SLICE_BYTES = 20_000, 2 << 20, 1 << 20
+BATCH_ROWS, BATCH_BYTES, SLICE_BYTES = 20_000, 2 << 20, 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,17 +57,8 @@ def give_back() -> None:
         pass
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small table out to all cores; larger ones are left as the scan splits them.
-
-    Decided from the sizes of the files alone: nothing of the plan is run.
-    """
-    spark = df.sparkSession
-    cores, leaves = spark.sparkContext.defaultParallelism, df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    conf = spark._jsparkSession.sessionState().conf()
-    split = max(conf.filesOpenCostInBytes(), min(conf.filesMaxPartitionBytes(), size // cores))
-    return df.repartition(cores) if size < split * cores and len(df.inputFiles()) < cores else df
+#: Deal a small table out to all cores.
+spread = dealt
 
 
 def forget_all_but(key: tuple | None) -> None:

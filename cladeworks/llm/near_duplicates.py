@@ -9,12 +9,14 @@ repeat this is the plain Jaccard similarity. A class is a connected component of
    run that arrives first, and a run stops once its next arrival is later than every register of its text.
 2. Exact copies collapse by digest, pre-aggregated, so copies cost one row from here on; that row has a number.
 3. Bands of registers give buckets. Buckets are read in sorted ranges that may split a bucket. A member's candidate is
-   the first of a bucket (of its part of it); of its up to BANDS candidates the one whose registers agree best is
-   verified on the exact sets. The components of these links are what most buckets consist of entirely.
+   the most central of a bucket (of its part of it): the one with the most company in all its buckets, as the common
+   origin of near copies has. Of its up to BANDS candidates the one whose registers agree best is verified on the exact
+   sets. The components of these links are what most buckets consist of entirely.
 4. What is left are buckets with members of several components. Only their members of different components are
-   compared: those of the bucket's largest component with the others, and the others among themselves, in blocks. First
-   registers alone say who has a candidate at all; then such members meet with their sets, and each pair that would
-   join two components is verified. So every pair that shares a bucket is linked, verified or already in one component.
+   compared: those of the bucket's largest component with the others, and the others among themselves, in blocks, and a
+   pair in the first of the bands it shares only. First registers alone say who has a candidate at all; then such members
+   meet with their sets, and each pair that would join two components is verified. So every pair that shares a bucket is
+   linked, verified or already in one component.
 
 A link is missed only if the texts share no band (below 4e-6 at similarity 0.8) or if registers underestimate by 0.15
 (4.7 standard deviations at 0.8, below 2e-6).
@@ -128,14 +130,56 @@ def _batch(names: list[str], kinds: list, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def firsts(buckets: DataFrame) -> DataFrame:
-    """(a, b): members of buckets (bucket, node) and the first of the bucket, or of the part of it that a range holds."""
-    # a range may begin or end within a bucket: its first member there is also told by bucket
+def shared_buckets(classes: DataFrame) -> DataFrame:
+    """(bucket, band, node, company) of the buckets of two members or more; company: members in the range.
+
+    A range may begin or end within a bucket, so what stands alone at its ends stays too.
+    """
+    buckets = classes.select(F.posexplode("bands").alias("band", "bucket"), "node").select("bucket", "band", "node")
     rows = buckets.repartitionByRange("bucket", "node").sortWithinPartitions("bucket", "node")
-    out = lambda a, b, bucket: _batch(["a", "b", "bucket"], [pa.int64()] * 3, a, b, bucket)
+    names, kinds = ["bucket", "band", "node", "company"], [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
     def run(batches):
-        last, leader, opening = None, None, None
+        held, opening = [np.zeros(0, t) for t in (np.int64, np.int32, np.int64)], True
+
+        def out(columns, all_=False):
+            bucket = columns[0]
+            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+            size = np.diff(np.append(starts, len(bucket)))
+            company = np.repeat(size, size)
+            stay = company > 1
+            if len(starts) and opening:
+                stay[: size[0]] = True
+            if len(starts) and all_:
+                stay[starts[-1] :] = True
+            return _batch(names, kinds, *(c[stay] for c in columns), company[stay])
+
+        parts = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts.append([batch.column(i).to_numpy() for i in range(3)])
+            if len(held[0]) and parts[-1][0][-1] == held[0][0] or len(parts) > 1 and parts[-1][0][-1] == parts[0][0][0]:
+                continue  # one bucket so far
+            held, parts = [np.concatenate(x) for x in zip(held, *parts)], []
+            cut = np.searchsorted(held[0], held[0][-1])  # the last bucket may go on
+            if cut:
+                yield out([x[:cut] for x in held])
+                held, opening = [x[cut:] for x in held], False
+        held = [np.concatenate(x) for x in zip(held, *parts)]
+        yield out(held, all_=True)
+
+    return in_arrow(rows, run, "bucket bigint, band int, node bigint, company bigint")
+
+
+def firsts(shared: DataFrame, company: DataFrame) -> DataFrame:
+    """(a, b): members of shared buckets and the member with the most company, of the bucket or of what a range holds of it."""
+    order = ["bucket", "less", "node"]
+    rows = shared.select("bucket", "node").join(company.select("node", (-F.col("company")).alias("less")), "node").select(*order)
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("bucket", "node")
+
+    def run(batches):
+        last, leader = None, None
         for batch in batches:
             bucket, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(node):
@@ -146,20 +190,11 @@ def firsts(buckets: DataFrame) -> DataFrame:
             starts = np.flatnonzero(new)
             at = np.searchsorted(starts, np.arange(len(node)), side="right") - 1
             leaders = np.append(node[starts], leader if leader is not None else 0)[at]
-            if opening is None:
-                opening = (int(bucket[0]), int(node[0]))
-                yield out([opening[1]], [None], [opening[0]])
             last, leader = int(bucket[-1]), int(leaders[-1])
             other = leaders != node
-            yield out(node[other], leaders[other], [None] * int(other.sum()))
-        if last is not None and last != opening[0]:
-            yield out([leader], [None], [last])
+            yield _batch(["a", "b"], [pa.int64()] * 2, node[other], leaders[other])
 
-    links = kept(in_arrow(rows, run, "a bigint, b bigint, bucket bigint").distinct(), "firsts")
-    inside = links.filter("bucket is null").select("a", "b")
-    split = links.filter("bucket is not null").select("a", "bucket")
-    first = split.groupBy("bucket").agg(F.min("a").alias("b"))
-    return inside.unionByName(split.join(first, "bucket").filter("a <> b").select("a", "b")).distinct()
+    return in_arrow(rows, run, "a bigint, b bigint").distinct()
 
 
 def agreement(pairs: DataFrame) -> DataFrame:
@@ -209,21 +244,19 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return in_arrow(both.select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
 
-def mixed(buckets: DataFrame, components: DataFrame) -> DataFrame:
-    """(bucket, node, component, is_main, mains, others) of the members of buckets with several components.
+def mixed(shared: DataFrame, components: DataFrame) -> DataFrame:
+    """(bucket, band, node, component, is_main, mains, others) of the members of buckets with several components.
 
     is_main: of the bucket's largest component; mains, others: blocks of these and of the rest.
     """
-    rows = buckets.join(components, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    rows = shared.join(components, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component"))
     rows = kept(rows, "members")
-    several = rows.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    rows = kept(split_join(rows, several, "bucket", "node"), "mixed")
     counts = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    of = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
+    of = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("several")).filter("several > 1")
     blocks = lambda n, size: F.ceil(n / size).cast("int")
     of = of.select("bucket", F.col("main.component").alias("main"), blocks(F.col("main.n"), MAIN_BLOCK).alias("mains"), blocks(F.col("all") - F.col("main.n"), BLOCK).alias("others"))
-    out = split_join(rows, of, "bucket", "node")
-    return out.select("bucket", "node", "component", (F.col("component") == F.col("main")).alias("is_main"), "mains", "others")
+    out = split_join(rows, kept(of, "mixed"), "bucket", "node")
+    return out.select("bucket", "band", "node", "component", (F.col("component") == F.col("main")).alias("is_main"), "mains", "others")
 
 
 def blocked(rows: DataFrame) -> DataFrame:
@@ -259,11 +292,11 @@ def _tasks(batches, keys: int, work):
 
 
 def candidate_pairs(key: tuple, rows: list[tuple]) -> list[tuple[int, int, float]]:
-    """Places (i, j) of rows of different components whose registers agree, best first.
+    """Places (i, j) of rows of different components whose registers agree, and share no band before this one; best first.
 
-    rows: node, component, side, registers, ...; a task of two blocks compares them, a task of one block its rows.
+    rows: node, component, side, registers, band, bands, ...; a task of two blocks compares them, a task of one block its rows.
     """
-    registers = np.array([np.frombuffer(r[3], "<u2") for r in rows])
+    registers, before = np.array([np.frombuffer(r[3], "<u2") for r in rows]), np.array([r[5][: r[4]] for r in rows], np.int64).reshape(len(rows), -1)
     component, side = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
     two = key[1] != key[2]
     right = np.flatnonzero(~side) if two else np.arange(len(rows))
@@ -273,7 +306,9 @@ def candidate_pairs(key: tuple, rows: list[tuple]) -> list[tuple[int, int, float
         others = others[component[others] != component[i]]
         if len(others):
             agree = (registers[others] == registers[i]).mean(axis=1)
-            found += [(i, j, x) for j, x in zip(others.tolist(), agree.tolist()) if x >= LEAST_AGREEMENT]
+            good = np.flatnonzero(agree >= LEAST_AGREEMENT)
+            good = good[~(before[others[good]] == before[i]).any(axis=1)]
+            found += [(i, j, x) for j, x in zip(others[good].tolist(), agree[good].tolist())]
     return sorted(found, key=lambda f: (-f[2], f[0], f[1]))
 
 
@@ -289,7 +324,7 @@ def linking(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
 
     def of(i):
         if i not in sets:
-            sets[i] = weighted(rows[i][4])
+            sets[i] = weighted(rows[i][6])
         return sets[i]
 
     for i, j, _ in candidate_pairs(key, rows):
@@ -300,8 +335,8 @@ def linking(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
 
 
 def rest_of_links(rows: DataFrame, registers: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between components, within the buckets of `mixed`; registers: node, registers; sets: node, runs."""
-    names = ["bucket", "one", "two", "node", "component", "side", "registers"]
+    """Links (a, b) between components, within the buckets of `mixed`; registers: node, registers, bands; sets: node, runs."""
+    names = ["bucket", "one", "two", "node", "component", "side", "registers", "band", "bands"]
 
     def some(batches):  # who has a candidate at all
         work = lambda key, r: [(key[0], r[i][0]) for i in {k for i, j, _ in candidate_pairs(key, r) for k in (i, j)}]
@@ -327,23 +362,30 @@ def rest_of_links(rows: DataFrame, registers: DataFrame, sets: DataFrame) -> Dat
 
 def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component) of every class that is linked to another; docs: doc_id, copy_key, text."""
-    buckets = classes.select(F.explode("bands").alias("bucket"), "node")
-    pairs = kept(firsts(buckets), "pairs")
-    in_pairs = kept(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
-    registers = kept(classes.select("node", "registers").join(in_pairs, "node", "left_semi"), "registers")
+    shared = kept(shared_buckets(classes), "shared")
+    company = kept(shared.groupBy("node").agg(F.sum("company").alias("company")), "company")
+    pairs = kept(firsts(shared, company), "pairs")
+    near = kept(classes.select("node", "registers", "bands", "rep", "copy_key").join(company.select("node"), "node", "left_semi"), "registers")
+    registers = near.select("node", "registers", "bands")
     one = pairs.join(registers.select(F.col("node").alias("a"), F.col("registers").alias("x")), "a")
     both = split_join(one, registers.select(F.col("node").alias("b"), F.col("registers").alias("y")), "b", "a", counted=pairs)
     best = agreement(both).filter(F.col("agree") >= LEAST_AGREEMENT).groupBy("a").agg(F.max(F.struct("agree", "b")).alias("m"))
     best = kept(best.select("a", "m.b"), "best")
-    sets = kept(packed_sets(docs, classes.join(in_pairs, "node", "left_semi")), "sets")
+    sets = kept(packed_sets(docs, near), "sets")
     links = kept(verified(best, sets), "links")
     components = kept(connected_components(links), "components")
-    shared = buckets.join(in_pairs, "node", "left_semi")
     more = rest_of_links(kept(mixed(shared, components), "rows"), registers, sets)
-    out = kept(connected_components(links.unionByName(kept(more, "more"))), "components")
-    for frame in (pairs, registers, best, sets, components):
+    more = kept(more, "more")
+    if not more.isEmpty():  # the components that these links join, as nodes of a smaller graph
+        of = lambda c: components.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
+        ends = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        ends = ends.select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b"))
+        joined = kept(connected_components(ends), "joined").select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        every = components.unionByName(joined.select(F.col("component").alias("node"), "component")).distinct()
+        components = kept(every.join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component")), "components")
+    for frame in (pairs, near, best, sets, shared):
         remove(frame)
-    return out
+    return components
 
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
