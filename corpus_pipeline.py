@@ -74,7 +74,7 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: SQL can express neither the trees nor the signatures; tests hold each stage against a brute-force version.
+#: SQL can express neither the trees nor the signatures; tests/llm/test_pipeline.py holds each stage against a plain program.
 ORACLE_SQL = None
 
 
