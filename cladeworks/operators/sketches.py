@@ -69,7 +69,7 @@ def class_members(sketches: DataFrame, classes: DataFrame, sample: str) -> DataF
     return some.unionByName(sketches.filter(F.size("sketch") == 0).select(sample, F.col(sample).alias("rep")))
 
 
-def distance_pairs(classes: DataFrame, k: int, size: int, max_distance: float = 1.0) -> DataFrame:
+def distance_pairs(classes: DataFrame, k: int, size: int, max_distance: float) -> DataFrame:
     """(a, b, n_a, n_b, shared, compared, distance) of classes a < b that share a hash, up to max_distance.
 
     Pairs that share nothing have distance 1 and are not listed. Instead of all pairs, hashes are joined with

@@ -195,6 +195,15 @@ def nj_trees(distances: DataFrame, members: DataFrame, missing: float | None = N
     return left.cogroup(right).applyInPandas(build, f"cluster_id {kind}, n_tips bigint, method string, newick string")
 
 
+def backbone_tree(distances: DataFrame, representatives: DataFrame, missing: float = 1.0) -> DataFrame:
+    """(cluster_id, n_tips, method, newick): one tree of all representatives, a star of fewer than three.
+
+    distances: a, b, distance; representatives: representative. A pair that is not listed is `missing` apart.
+    """
+    one = F.lit("backbone").alias("cluster_id")
+    return nj_trees(distances.select(one, "a", "b", "distance"), representatives.select(one, F.col("representative").alias("name")), missing)
+
+
 def label(text: str | None) -> str:
     """As functions.names.normalize_label, for single names."""
     from ..functions.names import LABEL_ENDINGS

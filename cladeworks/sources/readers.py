@@ -48,6 +48,17 @@ def sequence_files(spark: SparkSession, folder: str, recursive: bool = True, gz:
     return require_rows(rows.filter(has_ending(F.col("path"), gz=gz)), "sequence file").orderBy("path")
 
 
+def guarded(files: DataFrame, path: str = "path") -> DataFrame:
+    """files, or an error: paths with blanks, of no sequence file, or two files of one base name."""
+    name = normalize_name(F.regexp_replace(path, r"\.gz$", ""))
+    odd = files.filter(F.col(path).rlike(r"\s") | ~has_ending(F.col(path))).select(F.col(path).alias("p"))
+    twice = files.groupBy(name.alias("p")).agg(F.count("*").alias("n")).filter("n > 1").select("p")
+    for what, rows in (("with blanks or of no sequence file", odd), ("of one base name", twice)):
+        if found := rows.limit(5).collect():
+            raise ValueError(f"files {what}: " + ", ".join(r["p"] for r in found))
+    return files
+
+
 def fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(sample, path, contig_ord, header, seq) of FASTA files, gzipped ones too; a record is one row.
 

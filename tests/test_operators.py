@@ -421,7 +421,48 @@ def test_placement_stream(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out")), "sample", "cluster_id") == [("n1", "of_k1"), ("n2", None)]
 
 
-def test_settings():
+def test_windowed_counts_of_a_stream(spark, tmp_path):
+    schema = "ts timestamp, event_type string, value double"
+    frame(spark, "ts string, event_type string, value double", ("2024-01-01 00:01:00", "a", 1.0), ("2024-01-01 00:04:00", "a", 2.0), ("2024-01-01 00:06:00", "b", 3.0)).selectExpr("cast(ts as timestamp) ts", "event_type", "value").write.parquet(str(tmp_path / "in"))
+    counted = placement.windowed_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+    query = counted.writeStream.format("memory").queryName("counted").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert sorted((r["event_type"], r["n"], r["total"]) for r in spark.table("counted").collect()) == [("a", 2, 3.0), ("b", 1, 3.0)]
+
+
+def test_guards_on_files_and_a_backbone(spark):
+    files = frame(spark, "path string", ("/a/x.fasta",), ("/b/y.fa.gz",))
+    assert readers.guarded(files).count() == 2
+    for more, what in (("/c/x.fa", "one base name"), ("/c/z z.fa", "blanks"), ("/c/z.txt", "blanks")):
+        with pytest.raises(ValueError, match=what):
+            readers.guarded(files.union(frame(spark, "path string", (more,))))
+    tree = trees.backbone_tree(frame(spark, "a string, b string, distance double", ("r1", "r2", 0.1), ("r2", "r3", 0.2)), frame(spark, "representative string", ("r1",), ("r2",), ("r3",), ("r 4",))).collect()
+    assert len(tree) == 1 and sorted(t.name for t in trees.parse_newick(tree[0]["newick"]).tips()) == ["r 4", "r1", "r2", "r3"]
+
+
+def test_kept_tables_are_removed(spark):
+    import os
+
+    from cladeworks.plans.shared import kept, remove
+
+    df = kept(spark.range(3).toDF("n"), "x")
+    path = df._cladeworks_path.removeprefix("file://").removeprefix("file:")
+    assert df.count() == 3 and os.path.exists(path)
+    remove(df)
+    assert not os.path.exists(path)
+
+
+def test_settings(tmp_path):
+    from cladeworks.plans.settings import from_arguments, from_file
+
+    (tmp_path / "p.json").write_text('{"mash_threshold": 0.01, "graft": false}')
+    assert from_file(str(tmp_path / "p.json"), graft=True) == settings(mash_threshold=0.01) and not from_file(str(tmp_path / "p.json")).graft
+    assert from_arguments(["--preset", "bp", "--kmer=15", "--use-global-reference"]) == settings("bp", kmer=15, use_global_reference=True)
+    for bad in (["--kmer", "x"], ["--nothing", "1"], ["--graft", "maybe"]):
+        with pytest.raises(ValueError):
+            from_arguments(bad)
+    with pytest.raises(ValueError, match="type int"):
+        settings(kmer="21")
     assert settings("bp", mash_threshold=0.0).mash_threshold == 0.0 and settings("bp").max_cluster_size == 50
     with pytest.raises(ValueError, match="unknown"):
         settings(x=1)
