@@ -37,8 +37,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
+#: Edges that one task may hold in any case.
+FEW = 20_000
+
+
 def _pulled(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
     """(a, b): of every edge (x, y), y and the least of x. least: a, m, n (edges of a); total: edges at most."""
+    if total <= FEW:
+        return edges.join(least.select("a", "m"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     is_hot = F.col("n") > hot_rows(total)
     hot = F.broadcast(least.filter(is_hot).select("a", "m"))
     near = edges.join(hot, "a")

@@ -183,6 +183,7 @@ def test_components_with_a_hot_node(spark, monkeypatch):
     from cladeworks.operators import components
 
     monkeypatch.setattr(components, "hot_rows", lambda total: 5)
+    monkeypatch.setattr(components, "FEW", 0)
     edges = spark.range(1, 400).select(F.when(F.col("id") % 2 == 0, 0).otherwise(500).alias("a"), "id")
     edges = edges.union(spark.createDataFrame([(600, 601), (601, 602)], "a int, id bigint"))
     found = components.connected_components(edges, "a", "id")
