@@ -374,9 +374,9 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     sets = kept(packed_sets(docs, near), "sets")
     links = kept(verified(best, sets), "links")
     components = kept(connected_components(links), "components")
-    more = rest_of_links(kept(mixed(shared, components), "rows"), registers, sets)
-    more = kept(more, "more")
-    if not more.isEmpty():  # the components that these links join, as nodes of a smaller graph
+    left = kept(mixed(shared, components), "rows")
+    more = None if left.isEmpty() else kept(rest_of_links(left, registers, sets), "more")
+    if more is not None and not more.isEmpty():  # the components that these links join, as nodes of a smaller graph
         of = lambda c: components.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
         ends = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
         ends = ends.select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b"))
