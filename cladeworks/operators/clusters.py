@@ -20,10 +20,17 @@ def single_linkage(nodes: DataFrame, edges: DataFrame, sample: str = "sample_id"
 def split_oversize(members: DataFrame, most: int, sample: str = "sample_id", component: str = "component") -> DataFrame:
     """(cluster_id, sample): components in chunks of at most `most` in order of sample, numbered by least sample.
 
-    Numbers come from one row for each chunk. Within a component samples are ranked by its own window.
+    A sample's place in its component is its place in a range of the sorted members, plus the component's members in the
+    ranges before: no task needs a whole component. Numbers come from one row for each chunk.
     """
-    order = Window.partitionBy(component).orderBy(sample)
-    chunk = members.withColumn("chunk", F.floor((F.row_number().over(order) - 1) / most).cast("int"))
+    ranged = members.select(component, sample).repartitionByRange(component, sample).sortWithinPartitions(component, sample)
+    # the range is the high half of this number, the place in it the low half; both are fixed by writing them
+    ranged = kept(ranged.withColumn("__at", F.monotonically_increasing_id()), "members").withColumn("__range", F.shiftright("__at", 33))
+    parts = ranged.groupBy(component, "__range").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(component).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("__before", F.coalesce(before, F.lit(0))).select(component, "__range", "__first", "__before")
+    place = F.col("__before") + F.col("__at") - F.col("__first")
+    chunk = ranged.join(parts, [component, "__range"]).select(component, sample, F.floor(place / most).cast("int").alias("chunk"))
     return numbered(chunk, [component, "chunk"]).select("cluster_id", sample)
 
 

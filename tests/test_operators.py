@@ -38,6 +38,12 @@ def test_components_and_split(spark):
     assert rows(split, "cluster_id", "sample_id") == [("cluster_0", "a"), ("cluster_0", "b"), ("cluster_1", "c"), ("cluster_2", "d"), ("cluster_3", "e")]
 
 
+def test_a_component_over_several_ranges_is_split_in_order(spark):
+    members = spark.range(1000).select(F.col("id").alias("sample_id"), F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("component"))
+    found = rows(cl.split_oversize(members, 40), "sample_id", "cluster_id")
+    assert found == [(i, f"cluster_{i // 40 if i < 900 else 23 + i - 900}") for i in range(1000)]
+
+
 def test_components_of_a_long_path_and_of_no_edges(spark):
     path = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert rows(connected_components(path), "component") == [(0,)] * 61
