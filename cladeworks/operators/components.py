@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.shared import kept, remove
-from .skew import hot_rows
+from .skew import FEW, hot_rows
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,25 +20,24 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     edges = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"), F.col(a).alias("__x"), F.col(b).alias("__y"))
     stars = kept(edges.filter("__x is not null and __y is not null and a <> b").select("a", "b").distinct(), "edges")
-    before = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    while True:
+    while total := _unfinished(stars):
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n"))
-        large = _pulled(both.filter("b > a"), least, 2 * before[0]).distinct()
+        large = _pulled(both.filter("b > a"), least, 2 * total).distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = _pulled(large, lowest, before[0]).filter("a <> b")
+        small = _pulled(large, lowest, total).filter("a <> b")
         done, stars = stars, kept(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(), "round")
         remove(done)
-        now = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     roots = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-#: Edges that one task may hold in any case.
-FEW = 20_000
+def _unfinished(stars: DataFrame) -> int:
+    """The number of edges (a, b), a > b, unless they are stars: each a below one b, which is below none."""
+    ends = stars.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(stars.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    row = nodes.agg(F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).alias("bad"), F.sum("up").alias("n")).first()
+    return row["n"] if row["bad"] else 0
 
 
 def _pulled(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: A key is hot if it has more than one in SHARE of all rows, so fewer than SHARE keys are; below LEAST rows none is.
 SHARE, LEAST, SALTS = 500, 200, 32
+#: Rows that one task may hold in any case: joins of fewer are not split.
+FEW = 20_000
 
 
 def hot_rows(total: int) -> int:
@@ -21,7 +23,9 @@ def split_join(left: DataFrame, right: DataFrame, key: str, by: str | Column, ho
     What is broadcast are keys, fewer than SHARE of them.
     """
     counted = left if counted is None else counted
-    least = hot_rows(counted.count())
+    if (total := counted.count()) <= FEW:
+        return left.join(right, key, how)
+    least = hot_rows(total)
     hot = counted.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > least).select(key, F.lit(True).alias("__hot"))
     hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
