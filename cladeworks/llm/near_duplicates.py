@@ -312,9 +312,34 @@ def candidate_pairs(key: tuple, rows: list[tuple]) -> list[tuple[int, int, float
     return sorted(found, key=lambda f: (-f[2], f[0], f[1]))
 
 
+def similarities(sets: list[tuple[np.ndarray, np.ndarray]], pairs: list[tuple[int, int]]) -> np.ndarray:
+    """Similarity of pairs of sets. Where no run repeats it is |common| / |union|, for all partners of a set at once."""
+    out, plain = np.zeros(len(pairs)), [bool((s[1] == 1).all()) for s in sets]
+    runs_, place = np.unique(np.concatenate([s[0] for s in sets]), return_inverse=True)
+    cuts = np.cumsum([0, *(len(s[0]) for s in sets)])
+    ids, mark, partners = [place[a:b] for a, b in zip(cuts, cuts[1:])], np.zeros(len(runs_), np.int64), {}
+    for k, (i, j) in enumerate(pairs):
+        if plain[i] and plain[j]:
+            partners.setdefault(i, []).append((k, j))
+        else:
+            out[k] = similarity(sets[i], sets[j])
+    for i, found in partners.items():
+        mark[ids[i]] = 1
+        for at in range(0, len(found), 1000):
+            part = found[at : at + 1000]
+            sizes = np.array([len(ids[j]) for _, j in part])
+            common = np.add.reduceat(mark[np.concatenate([ids[j] for _, j in part])], np.cumsum(sizes) - sizes)
+            out[[k for k, _ in part]] = common / (sizes + len(ids[i]) - common)
+        mark[ids[i]] = 0
+    return out
+
+
 def linking(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
     """A spanning forest, over components, of the links of a task; rows as for candidate_pairs, then runs."""
-    parent, sets, out = {}, {}, []
+    pairs = [(i, j) for i, j, _ in candidate_pairs(key, rows)]
+    if not pairs:
+        return []
+    parent, out = {}, []
 
     def find(x):
         while parent.setdefault(x, x) != x:
@@ -322,13 +347,9 @@ def linking(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
             x = parent[x]
         return x
 
-    def of(i):
-        if i not in sets:
-            sets[i] = weighted(rows[i][6])
-        return sets[i]
-
-    for i, j, _ in candidate_pairs(key, rows):
-        if (p := find(rows[i][1])) != (q := find(rows[j][1])) and similarity(of(i), of(j)) >= SIMILARITY:
+    for k in np.flatnonzero(similarities([weighted(r[6]) for r in rows], pairs) >= SIMILARITY).tolist():
+        i, j = pairs[k]
+        if (p := find(rows[i][1])) != (q := find(rows[j][1])):
             parent[p] = q
             out.append((rows[i][0], rows[j][0]))
     return out

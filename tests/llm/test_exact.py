@@ -243,6 +243,16 @@ def test_blocks_of_a_bucket_find_the_same_links(spark, monkeypatch):
         assert [found[i] for i in range(len(texts))] == plain_classes(texts)
 
 
+def test_similarities_at_once_are_those_of_pairs():
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.randint(5, 60))) for _ in range(20)] + ["a b c d e " * k for k in (1, 2, 5)] + [" ".join(f"v{k}" for k in range(50))] * 2
+    owner, run, weight = near_duplicates.shingles(texts)
+    cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+    sets = [(run[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:])]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(len(texts)) if i != j]
+    assert np.allclose(near_duplicates.similarities(sets, pairs), [near_duplicates.similarity(sets[i], sets[j]) for i, j in pairs])
+
+
 def test_every_pair_of_a_bucket_meets_in_some_task(spark):
     rng = random.Random(5)
     rows = [(b, b * 1000 + n, b * 1000 + (0 if n < 23 and b else n // 2), bool(b) and n < 23, 4, 3) for b in range(3) for n in range(40)]
