@@ -1,10 +1,12 @@
 """Every query of the reference's operators against its DuckDB equivalent, by schema and values."""
 
+import functools
 import os
 
 import duckdb
 import pytest
 
+from cladeworks.plans import queries as q
 from cladeworks.plans.oracles import ORACLES
 from cladeworks.plans.queries import QUERIES
 
@@ -21,6 +23,17 @@ def duck():
     return c
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_steps():
+    """Sketches, components and groups that many queries begin with are computed once."""
+    own = {name: getattr(q, name) for name in ("_classes", "_components", "_clusters", "_grouped", "_chosen")}
+    for name, step in own.items():
+        setattr(q, name, functools.cache(step))
+    yield
+    for name, step in own.items():
+        setattr(q, name, step)
+
+
 def rows_of(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
     return sorted(repr([float(r[i]) if isinstance(r[i], float) else r[i] for i in order]) for r in rows)
