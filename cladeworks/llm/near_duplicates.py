@@ -369,7 +369,7 @@ def rest_of_links(rows: DataFrame, registers: DataFrame, sets: DataFrame) -> Dat
     left = rows.join(asked, ["bucket", "node"], "left_semi")
     # a pair with both ends here; blocks are of those who are left
     n = left.groupBy("bucket").agg(F.count_if("is_main").alias("m"), F.count_if(~F.col("is_main")).alias("o"))
-    left = left.drop("mains", "others").join(n, "bucket").filter("o > 0")
+    left = split_join(left.drop("mains", "others"), n, "bucket", "node", counted=asked).filter("o > 0")
     blocks = lambda c: F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int")
     left = left.withColumn("mains", blocks("m")).withColumn("others", blocks("o")).drop("m", "o")
 
