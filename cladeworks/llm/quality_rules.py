@@ -3,13 +3,15 @@
 Base counts of every text (see `base_counts`) give the base rules. The method compares two histograms of a document
 with those of its language by the Jensen-Shannon distance (base 2, 0 to 1): the shares of character classes, and the
 shares of the language's common words among all common words. The language of a document is the one whose common
-words it has most of. References are learnt from the table (one of all languages serves documents without any common word): the mean histogram of the documents that pass the
-base rules, are long enough and have few symbols; a mean of per-document shares gives a long text no more say than a
-short one, and integer shares make it exact in any order. A document is kept if both distances are within their limits;
-documents with fewer than MIN_CHARS characters in words, or fewer than MIN_COMMON common words, are too short for
+words it has most of. References are learnt from the table (one of all languages serves documents without any common
+word): the mean histogram of the documents that pass the base rules, are long enough and have few symbols; a mean of
+per-document shares gives a long text no more say than a short one, and integer shares make it exact in any order. A
+document is kept if both distances are within their limits; documents with fewer than MIN_CHARS characters in words, or fewer than MIN_COMMON common words, are too short for
 the histogram in question and pass it. A language without reference documents rejects nothing.
 
-The plan reads the texts twice without shuffling them; only reference sums, a row for each language, are exchanged.
+The texts are read once and never shuffled: counts and histograms, a row of fixed width for each document, are written
+to the shared folder, and read for the references and for the verdicts. Only reference sums, a row for each language,
+are exchanged.
 Edge cases: null and empty texts have no words and fail the base rules; repeated rows get equal results; only
 doc_id and the text are used, other columns pass through `quality_rules` (added columns replace theirs).
 """
@@ -21,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.shared import kept as written
 from .common import spread, table
 
 # The most common words of each language.
@@ -165,9 +168,15 @@ def references(df: DataFrame) -> DataFrame:
     return out.select("language", F.array(*(f"c{i}" for i in range(n_chars))).alias("__char_ref"), F.array(*(f"w{i}" for i in range(n_words))).alias("__word_ref"))
 
 
-def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs plus base counts, base_failed, language, char_distance, word_distance and kept."""
+def quality_rules(docs: DataFrame, text: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """docs plus base counts, base_failed, language, char_distance, word_distance and kept.
+
+    columns: those of docs that the result has, all if not given; a result without the text writes no text either.
+    """
     df = measured(docs, text)
+    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "language", "__chars", "__word_hist"]
+    own = [c for c in (docs.columns if columns is None else columns) if c not in added]
+    df = written(df.select(*(F.col(f"`{c}`") for c in own), *added), "measured")
     # a reference is one row of fixed width for each language of COMMON
     known = references(df).withColumnRenamed("language", "__reference")
     df = df.withColumn("__reference", F.coalesce("language", F.lit(ANY))).join(F.broadcast(known), "__reference", "left")
@@ -181,6 +190,6 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    found = quality_rules(docs).drop("text")
+    found = quality_rules(docs, columns=["doc_id"])
     rounded = [F.round(c, 6).alias(c) for c in ("char_distance", "word_distance")]
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "language", *rounded)
