@@ -475,3 +475,35 @@ def test_settings(tmp_path):
     assert settings("bp", mash_threshold=0.0).mash_threshold == 0.0 and settings("bp").max_cluster_size == 50
     with pytest.raises(ValueError, match="unknown"):
         settings(x=1)
+
+
+def test_packed_sketches_are_the_heads_of_the_hashes(spark):
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("abc déß漢😀"), n)) for n in (0, 3, 11, 12, 13, 60, 400)] + [None, "plain words only " * 40]
+    df = frame(spark, "s int, t string", *enumerate(texts))
+    long = {r["s"]: [int(x[:16], 16) - 2**63 for x in r["sketch"]] for r in sk.sketch(df, "s", "t", 12, 20).collect()}
+    assert {r["s"]: r["sketch"] for r in sk.packed_sketch(df, "s", "t", 12, 20).collect()} == long
+
+
+@pytest.mark.parametrize("cells", [1 << 22, 16])
+def test_pairs_of_blocks_equal_pairs_by_index(spark, monkeypatch, cells):
+    for name, value in (("BLOCK", 5), ("BLOCKS", 2), ("SMALL", 4), ("CELLS", cells)):
+        monkeypatch.setattr(sk, name, value)
+    rng = np.random.default_rng(7)
+    base = "".join(rng.choice(list("ACGT"), 300))
+    texts = [base[: 300 - 9 * i] + "".join(rng.choice(list("ACGT"), 9 * i)) for i in range(25)] + ["", None, base, "ACGTACGT"]
+    sketches = sk.packed_sketch(frame(spark, "s int, t string", *enumerate(texts)), "s", "t", 8, 40)
+    classes = sk.sketch_classes(sketches, "s").withColumn("g", F.col("rep") % 3).localCheckpoint()
+    names = ["a", "b", "n_a", "n_b", "shared", "compared", "distance"]
+    for far in (1.0, 0.25, 0.1, 0.02):
+        expected = rows(sk.distance_pairs(classes, 8, 40, far), *names)
+        assert rows(sk.block_pairs(classes, 8, 40, far), *names) == expected
+        assert rows(sk.block_pairs(classes, 8, 40, far, "g"), *names) == [x for x in expected if x[0] % 3 == x[1] % 3]
+    assert rows(sk.block_pairs(classes.limit(0), 8, 40, 0.1), *names) == []
+
+
+def test_matrix_moves_sketches_not_candidates(spark):
+    from cladeworks.plans import queries
+
+    plan = queries.mash_matrix_long(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
