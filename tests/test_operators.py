@@ -524,3 +524,12 @@ def test_num_results_makes_no_pairs(spark):
 
     plan = queries.num_results(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "MapInArrow" not in plan
+
+
+def test_medoids_compare_classes_of_one_cluster_only(spark, monkeypatch):
+    from cladeworks.plans import queries
+
+    calls, pairs = [], sk.block_pairs
+    monkeypatch.setattr(sk, "block_pairs", lambda classes, k, size, far, group=None: calls.append((far, group)) or pairs(classes, k, size, far, group))
+    assert queries.cluster_medoid(spark, "/root/testdata/sf0.001").count()
+    assert sorted(calls) == [(0.02, None), (0.25, "component")]
