@@ -533,3 +533,27 @@ def test_medoids_compare_classes_of_one_cluster_only(spark, monkeypatch):
     monkeypatch.setattr(sk, "block_pairs", lambda classes, k, size, far, group=None: calls.append((far, group)) or pairs(classes, k, size, far, group))
     assert queries.cluster_medoid(spark, "/root/testdata/sf0.001").count()
     assert sorted(calls) == [(0.02, None), (0.25, "component")]
+
+
+@pytest.mark.parametrize("held", [1 << 19, 10])
+def test_a_forest_of_pairs_has_the_components_of_all(spark, monkeypatch, held):
+    for name, value in (("BLOCK", 12), ("BLOCKS", 2), ("SMALL", 4), ("CELLS", 64), ("EDGES", held)):
+        monkeypatch.setattr(sk, name, value)
+    rng = np.random.default_rng(8)
+    bases = ["".join(rng.choice(list("ACGT"), 300)) for _ in range(3)]
+    texts = [b[: 300 - 2 * i] + "".join(rng.choice(list("ACGT"), 2 * i)) for b in bases for i in range(20)]
+    classes = sk.sketch_classes(sk.packed_sketch(frame(spark, "s int, t string", *enumerate(texts)), "s", "t", 8, 40), "s").localCheckpoint()
+    every = sk.block_pairs(classes, 8, 40, 0.1).localCheckpoint()
+    few = sk.block_pairs(classes, 8, 40, 0.1, forest=True).localCheckpoint()
+    assert few.count() < every.count() / 2 and not few.join(every, every.columns, "left_anti").count()
+    for far in (0.1, 0.02, 0.005):
+        parts = [rows(connected_components(sk.edges_within(x, far)), "node", "component") for x in (few, every)]
+        assert parts[0] == parts[1]
+
+
+def test_sweep_has_fewer_links_than_samples(spark):
+    from cladeworks.plans import queries
+
+    d = "/root/testdata/sf0.001"
+    records = queries._records(spark, d).localCheckpoint()
+    assert queries._country_links(spark, d, records, 0.25).count() < records.count()
