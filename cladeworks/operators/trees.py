@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.shared import ship
+from .alignments import PAIRS, base_planes, differences
 
 EDGES = "tree_id string, node_id bigint, parent_id bigint, child_ord int, name string, branch_length double, is_tip boolean"
 _TOKEN = re.compile(r"\s*(?:('(?:[^']|'')*')|([(),:;])|(\[[^\]]*\])|([^\s(),:;\[]+))")
@@ -128,12 +129,12 @@ def write_trees(edges: DataFrame) -> DataFrame:
     return edges.groupBy("tree_id").applyInPandas(one, "tree_id string, newick string")
 
 
-def neighbour_joining(names: list[str], d: np.ndarray) -> Node:
+def neighbour_joining(names: list[str], d: np.ndarray, copy: bool = True) -> Node:
     """The neighbour-joining tree of a distance matrix; negative lengths become 0. An estimate, not a likelihood tree.
 
-    The matrix is joined in place, a row's sum kept up to date: memory is one matrix, work cubic.
+    The matrix, or a copy of it, is joined in place, a row's sum kept up to date: memory is two matrices, work cubic.
     """
-    nodes, d = [Node(n) for n in names], np.array(d, float)
+    nodes, d = [Node(n) for n in names], np.array(d, float) if copy else d
     total, n = d.sum(axis=1), len(names)
     while n > 3:
         q = (n - 2) * d[:n, :n] - total[:n]
@@ -195,6 +196,30 @@ def nj_trees(distances: DataFrame, members: DataFrame, missing: float | None = N
     return left.cogroup(right).applyInPandas(build, f"cluster_id {kind}, n_tips bigint, method string, newick string")
 
 
+def sequence_trees(classes: DataFrame) -> DataFrame:
+    """(cluster_id, n_tips, method, newick) as nj_trees gives of snp_distances, for each cluster, whole.
+
+    classes: cluster_id, rep, seq. A cluster's distances are computed where its tree is built: what is shuffled are its
+    sequences, not its pairs. Memory is two matrices of 8 bytes a pair, and joining is cubic, as in nj_trees.
+    """
+    ship(classes.sparkSession)
+
+    def build(key, people):
+        people = people.assign(rep=people["rep"].astype(str)).sort_values("rep")
+        names = people["rep"].tolist()
+        if len(names) < 3:
+            return pd.DataFrame({"cluster_id": [key[0]], "n_tips": [len(names)], "method": ["star"], "newick": [star(names)]})
+        planes, every, d = base_planes(people["seq"].tolist()), np.arange(len(names)), np.empty((len(names),) * 2)
+        step = max(1, PAIRS // (len(names) * max(1, planes.shape[2])))
+        for i in range(0, len(names), step):
+            d[i : i + step] = differences(planes, every[i : i + step], every)
+        return pd.DataFrame({"cluster_id": [key[0]], "n_tips": [len(names)], "method": ["neighbour_joining"], "newick": [write_newick(neighbour_joining(names, d, copy=False))]})
+
+    kind = classes.schema["cluster_id"].dataType.simpleString()
+    rows = classes.select("cluster_id", "rep", F.upper(F.coalesce("seq", F.lit(""))).alias("seq"))
+    return rows.groupBy("cluster_id").applyInPandas(build, f"cluster_id {kind}, n_tips bigint, method string, newick string")
+
+
 def backbone_tree(distances: DataFrame, representatives: DataFrame, missing: float = 1.0) -> DataFrame:
     """(cluster_id, n_tips, method, newick): one tree of all representatives, a star of fewer than three.
 

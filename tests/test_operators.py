@@ -570,3 +570,20 @@ def test_pair_table_leaves_the_tasks_that_compare(spark, monkeypatch):
     assert rows(table, "cluster_id", "sample_a", "sample_b", "n_snps", "is_self") == brute
     assert "sample_a" not in table._jdf.queryExecution().executedPlan().toString().split("MapInArrow", 1)[1]
     assert not any(x in table._jdf.queryExecution().executedPlan().toString().split("MapInArrow", 1)[0] for x in ("Join", "Exchange"))
+
+
+def test_trees_of_sequences_are_those_of_their_distances(spark):
+    rng = np.random.default_rng(10)
+    seqs = ["".join(rng.choice(list("ACGTN-"), 90)) for _ in range(30)]
+    a = frame(spark, "cluster_id string, seq_id int, seq string", *[("x", i, s) for i, s in enumerate(seqs)], ("x", 40, seqs[0].lower()), ("y", 50, "AC"), ("z", 60, "A"), ("z", 61, "C"))
+    classes = al.sequence_classes(a).localCheckpoint()
+    pairs = al.snp_distances(classes).withColumnRenamed("n_snps", "distance")
+    names = ["cluster_id", "n_tips", "method", "newick"]
+    assert rows(trees.sequence_trees(classes), *names) == rows(trees.nj_trees(pairs, classes.select("cluster_id", F.col("rep").alias("name"))), *names)
+
+
+def test_nj_tree_shuffles_no_pairs(spark):
+    from cladeworks.plans import queries
+
+    plan = queries.nj_tree(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "distance" not in plan
