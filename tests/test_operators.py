@@ -587,3 +587,10 @@ def test_nj_tree_shuffles_no_pairs(spark):
 
     plan = queries.nj_tree(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "CoGroup" not in plan and "distance" not in plan
+
+
+def test_distance_pairs_leave_the_tasks_that_count(spark):
+    from cladeworks.plans import queries
+
+    plan = queries.mash_distance_pairs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan.split("MapInArrow", 1)[0] for x in ("Join", "Exchange")) and "SortMergeJoin" not in plan
