@@ -23,6 +23,7 @@ both kinds every score is the prior; repeated rows get equal scores; added colum
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 #: Bytes of text that are turned into n-grams at once, and distinct n-grams that a task holds before sending them.
 PIECE, MOST_HELD = 1 << 20, 1 << 20
 FEATURES = 8
+#: Symbols of the longest expressions whose probabilities the driver computes.
+SHORT = 2
 #: Bytes of the sample's texts, and so its n-grams at most.
 MAX_BYTES = 16 << 20
 _BYTE = np.uint64(8)
@@ -207,7 +210,7 @@ def continuations(docs: DataFrame) -> list[DataFrame]:
     whole = in_arrow(docs.select("text"), run, "gram bigint").distinct()
     orders = [kept(_shorter(whole.withColumnRenamed("gram", "expression"), ORDER - 1), "continuations")]
     for order in range(ORDER - 2, 0, -1):  # an expression's contexts are the expressions of one symbol more that end in it
-        orders.append(_shorter(orders[-1], order))
+        orders.append(kept(_shorter(orders[-1], order), "continuations"))
     return orders[::-1]
 
 
@@ -220,24 +223,43 @@ def _shorter(expressions: DataFrame, order: int) -> DataFrame:
     return expressions.groupBy(_last("expression", order).alias("expression")).agg(F.count("*").alias("n"))
 
 
+def _interpolated(rows: pa.Table, orders: range, below: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Expressions, sorted, and probabilities of the last of some orders, given those of the order below the first."""
+    every = {name: rows.column(name).to_numpy() for name in ("order", "expression", "n", "total", "types")}
+    for order in orders:
+        expression, n, total, types = (every[name][every["order"] == order] for name in ("expression", "n", "total", "types"))
+        lower = 1 / 256 if below is None else below[1][_lookup(below[0], expression & ((1 << 8 * (order - 1)) - 1))[0]]
+        shared = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * types * lower) / total
+        at = np.argsort(expression)
+        below = expression[at], shared[at]
+    return below
+
+
 def shared_probabilities(wanted: DataFrame, orders: list[DataFrame]) -> DataFrame:
     """(expression, shared): interpolated Kneser-Ney probability of the last symbol of each wanted expression.
 
-    wanted: expression, of the highest of the orders (see continuations). Only what is wanted is joined, order by order.
+    wanted: expression, of the highest of the orders (see continuations). Only what is wanted is joined, all orders at once,
+    as the driver keeps some memory for every exchange of a plan. Orders up to SHORT, at most 256 ** SHORT expressions, are
+    interpolated by the driver; of the longer ones, those that end alike meet in one task.
     """
-    below = None
-    for order, counts in enumerate(orders, 1):
-        need = wanted.select(_last("expression", order).alias("expression")).distinct()
-        contexts = counts.groupBy(F.shiftright("expression", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("types"))
-        rows = need.join(counts, "expression").withColumn("context", F.shiftright("expression", 8)).join(contexts, "context")
-        if below is None:
-            rows = rows.withColumn("below", F.lit(1 / 256))
-        else:
-            lower = below.select(F.col("expression").alias("lower"), F.col("shared").alias("below"))
-            rows = rows.withColumn("lower", _last("expression", order - 1)).join(lower, "lower")
-        shared = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("types") * F.col("below")) / F.col("total")
-        below = rows.select("expression", shared.alias("shared"))
-    return below
+    numbered = [counts.select(F.lit(order).alias("order"), "expression", "n") for order, counts in enumerate(orders, 1)]
+    counts = reduce(DataFrame.unionByName, numbered)
+    every = F.array(*(F.struct(F.lit(order).alias("order"), _last("expression", order).alias("expression")) for order in range(1, len(orders) + 1)))
+    need = wanted.select(F.inline(every)).distinct()
+    context = F.shiftright("expression", 8).alias("context")
+    contexts = counts.groupBy("order", context).agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+    rows = need.join(counts, ["order", "expression"]).select("order", "expression", "n", context).join(contexts, ["order", "context"])
+    rows = kept(rows.select("order", "expression", "n", "total", "types"), "wanted")
+    short = _interpolated(rows.filter(F.col("order") <= SHORT).toArrow(), range(1, SHORT + 1), None)
+    long = range(SHORT + 1, len(orders) + 1)
+
+    def run(batches):
+        if held := list(batches):
+            found = _interpolated(pa.Table.from_batches(held), long, short)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["expression", "shared"])
+
+    longer = rows.filter(F.col("order") > SHORT).repartition(_last("expression", SHORT + 1))
+    return in_arrow(longer, run, "expression bigint, shared double")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", most: int = MAX_LABELLED, most_bytes: int = MAX_BYTES) -> Toxicity:
@@ -254,7 +276,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", most
     rows = labelled_documents(spread(docs), sample, most_bytes).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
     rows = kept(rows, "labelled")
     counted = kept(_class_counts(rows).fillna(0), "counts")
-    wanted = counted.select(_last("gram", ORDER - 1).alias("expression")).distinct()
+    wanted = counted.select(_last("gram", ORDER - 1).alias("expression"))
     shared_ = shared_probabilities(wanted, continuations(spread(docs.select("text"))))
     table_ = counted.withColumn("expression", _last("gram", ORDER - 1)).join(shared_, "expression")
     found = table_.select("gram", *(F.col(str(k)).cast("int").alias(f"n{k}") for k in range(4)), "shared").toArrow()

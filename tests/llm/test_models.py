@@ -102,6 +102,15 @@ def test_shared_probabilities_are_those_of_all_documents(spark):
     assert one <= 1 + 1e-9
 
 
+def test_shared_probabilities_need_few_exchanges(spark):
+    docs = spark.createDataFrame([(1, "banana bandana"), (2, "zebra zen")], "doc_id bigint, text string")
+    orders = toxicity.continuations(docs)
+    shared = toxicity.shared_probabilities(orders[-1].select("expression"), orders)
+    for frame in (*orders, shared):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("Exchange ") <= 2
+    assert shared.count() == orders[-1].count()
+
+
 def test_ratios_and_evidence_are_those_of_plain_models():
     rng = np.random.default_rng(2)
     words = ["".join(rng.choice(list("abc"), rng.integers(1, 6))) for _ in range(400)]
