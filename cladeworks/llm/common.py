@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.shared import dealt, ship
+from ..plans.shared import dealt, give_back, ship
 
 #: Rows and bytes of one Arrow batch that the JVM sends, and bytes that a Python stage works on at once: its arrays take
 #: many times the bytes of their texts. One text may be longer than this; it is then worked on alone.
@@ -48,15 +47,6 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, rows)
 
 
-def give_back() -> None:
-    """Return memory that was freed to the system; a worker process outlives many stages."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):  # not this C library
-        pass
-
-
 #: Deal a small table out to all cores.
 spread = dealt
 

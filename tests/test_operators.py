@@ -594,3 +594,15 @@ def test_distance_pairs_leave_the_tasks_that_count(spark):
 
     plan = queries.mash_distance_pairs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan.split("MapInArrow", 1)[0] for x in ("Join", "Exchange")) and "SortMergeJoin" not in plan
+
+
+def test_distance_pairs_read_blocks_that_are_written_once(spark, monkeypatch):
+    from cladeworks.plans import queries
+
+    d = "/root/testdata/sf0.001"
+    whole = rows(queries.mash_distance_pairs(spark, d), "a", "b", "shared", "distance")
+    monkeypatch.setattr(sk, "SMALL", 50)
+    monkeypatch.setattr(sk, "BLOCK", 40)
+    pairs = queries.mash_distance_pairs(spark, d)
+    assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert rows(pairs, "a", "b", "shared", "distance") == whole
