@@ -17,6 +17,8 @@ from ..plans.shared import ship
 from .alignments import PAIRS, base_planes, differences
 
 EDGES = "tree_id string, node_id bigint, parent_id bigint, child_ord int, name string, branch_length double, is_tip boolean"
+NEAR, ROWS, FIRST = 16, 64, 16  # nearest nodes kept for each; rows computed at a time; rows looked at first
+MATRIX = 2048  # so many tips have a matrix (32 MB) also where profiles are smaller
 _TOKEN = re.compile(r"\s*(?:('(?:[^']|'')*')|([(),:;])|(\[[^\]]*\])|([^\s(),:;\[]+))")
 
 
@@ -129,44 +131,200 @@ def write_trees(edges: DataFrame) -> DataFrame:
     return edges.groupBy("tree_id").applyInPandas(one, "tree_id string, newick string")
 
 
-def neighbour_joining(names: list[str], d: np.ndarray, copy: bool = True) -> Node:
-    """The neighbour-joining tree of a distance matrix; negative lengths become 0. An estimate, not a likelihood tree.
+class Matrix:
+    """Distances between nodes, held as a matrix: 8 bytes for each two."""
 
-    The matrix, or a copy of it, is joined in place, a row's sum kept up to date: memory is two matrices, work cubic.
-    """
-    nodes, d = [Node(n) for n in names], np.array(d, float) if copy else d
-    total, n = d.sum(axis=1), len(names)
-    while n > 3:
-        q = (n - 2) * d[:n, :n] - total[:n]
-        q -= total[:n, None]
-        np.fill_diagonal(q, np.inf)
-        i, j = divmod(int(np.argmin(np.round(q, 12, out=q))), n)
-        i, j = min(i, j), max(i, j)
-        half = d[i, j] / 2 + (total[i] - total[j]) / (2 * (n - 2))
-        nodes[i].length, nodes[j].length = max(half, 0.0), max(d[i, j] - half, 0.0)
-        joined = (d[i, :n] + d[j, :n] - d[i, j]) / 2
+    def __init__(self, d: np.ndarray):
+        self.d = d
+
+    def sums(self) -> np.ndarray:
+        return self.d.sum(axis=1)
+
+    def rows(self, some: np.ndarray, n: int) -> np.ndarray:
+        """A new array: how far some nodes are from each of the first n."""
+        return self.d[some, :n]
+
+    def join(self, i: int, j: int, n: int, gap: float) -> np.ndarray:
+        """Nodes i < j, gap apart, are one in place i, the last of n takes place j: how far the new one was from each before."""
+        d = self.d
+        joined = (d[i, :n] + d[j, :n] - gap) / 2
         joined[[i, j]] = 0.0
-        total[:n] += joined - d[i, :n] - d[j, :n]
-        # the new node takes place i, the last one place j
         d[i, :n] = d[:n, i] = joined
-        total[i] = joined.sum() - joined[j]
+        d[j, :n], d[:n, j] = d[n - 1, :n], d[:n, n - 1]
+        d[j, j] = 0.0
+        return joined
+
+
+class Profiles:
+    """Distances between nodes, computed of the mean of their sequences: memory is linear in the tips, no pair is held.
+
+    The distance to a joined pair is the mean of the distances to both less half their own. So of nodes it is the mean number
+    of differing columns, a product of mean columns, less an offset for each node. A, C, G and T are corners of a tetrahedron
+    (product 3 of one with itself, -1 with another), what is none of these is 0, and known says which are.
+    """
+
+    def __init__(self, planes: np.ndarray):
+        one, two, known = (np.unpackbits(p.view(np.uint8), axis=1).view(np.int8) for p in planes)
+        one, two = known - 2 * (known & one), known - 2 * (known & two)
+        varies = np.logical_or.reduce([x.min(axis=0) < x.max(axis=0) for x in (one, two, known)])
+        one, two, known = one[:, varies], two[:, varies], known[:, varies]
+        partly = known.min(axis=0) == 0
+        self.all_known = 0.75 * float((~partly).sum())
+        self.means = np.concatenate([one, two, one * two, known[:, partly]], axis=1, dtype=float)
+        self.weights = np.repeat([-0.25, 0.75], [3 * one.shape[1], int(partly.sum())])
+        self.offsets = np.zeros(len(self.means))
+
+    @staticmethod
+    def width(planes: np.ndarray) -> int:
+        """How many numbers a node has, at most."""
+        return 4 * 64 * planes.shape[2]
+
+    def sums(self) -> np.ndarray:
+        return len(self.means) * self.all_known + self.means @ (self.weights * self.means.sum(axis=0))
+
+    def rows(self, some: np.ndarray, n: int) -> np.ndarray:
+        d = (self.means[some] * self.weights) @ self.means[:n].T
+        d += self.all_known - self.offsets[some, None]
+        d -= self.offsets[:n]
+        return d
+
+    def join(self, i: int, j: int, n: int, gap: float) -> np.ndarray:
+        self.means[i] = (self.means[i] + self.means[j]) / 2
+        self.offsets[i] = (self.offsets[i] + self.offsets[j] + gap) / 2
+        joined = self.rows(np.array([i]), n)[0]
+        joined[[i, j]] = 0.0
+        self.means[j], self.offsets[j] = self.means[n - 1], self.offsets[n - 1]
+        return joined
+
+
+def joined_tree(names: list[str], source: Matrix | Profiles) -> Node:
+    """The neighbour-joining tree of a source's distances, which is used up; negative lengths become 0.
+
+    Of all pairs the one with least q = (n - 2) d - total - total is joined, of equal ones the first by place. Instead of
+    computing all, each node keeps its NEAR nearest by d - total / (n - 2) among older nodes, and a bound of the others. A
+    distance never changes while both nodes are there, and bounds fall by at most the largest rise of a total / (n - 2):
+    rows are computed again only where their bound does not rule out the least pair. So the result is that of all pairs.
+    """
+    nodes, n = [Node(x) for x in names], len(names)
+    total = source.sums()
+    ident, born = np.arange(n), n  # a pair is kept by the node with the larger identity, the younger one
+    place, value = np.zeros(2 * n, int), np.full(2 * n, -np.inf)  # by identity; value: total / (n - 2), no more there: -inf
+    place[:n] = ident
+    near, near_d = np.zeros((n, NEAR), int), np.full((n, NEAR), np.inf)
+    low, rest, drift = np.full(n, np.inf), np.full(n, np.inf), 0.0  # bounds of the near and of the others, drift not yet taken off
+
+    def keep(some, d, u):
+        """The nearest of some rows, whose pairs that others keep are inf."""
+        v = d - u
+        if d.shape[1] > NEAR:
+            at = np.argpartition(v, NEAR, axis=1)[:, : NEAR + 1]
+            rest[some], at = np.take_along_axis(v, at[:, NEAR:], 1)[:, 0] + drift, at[:, :NEAR]
+        else:
+            rest[some], at = np.inf, np.broadcast_to(np.arange(d.shape[1]), d.shape)
+        near[some, : at.shape[1]], near_d[some, : at.shape[1]] = ident[at], np.take_along_axis(d, at, 1)
+        near_d[some, at.shape[1] :] = np.inf
+        low[some] = np.take_along_axis(v, at, 1).min(axis=1) + drift
+
+    if n > 3:
+        u = total / (n - 2)
+        for i in range(0, n, ROWS):
+            some = np.arange(i, min(n, i + ROWS))
+            d = source.rows(some, some[-1] + 1)
+            d[ident[: d.shape[1]] >= some[:, None]] = np.inf
+            keep(some, d, u[: d.shape[1]])
+        slack = 1e-10 * (1 + float(np.abs(u).max()))
+    while n > 3:
+        u = total[:n] / (n - 2)
+        value[ident[:n]] = u
+        bound = np.minimum(low[:n], rest[:n]) - u - drift
+        found = (np.inf, n, n, 0.0)
+
+        def least(found, q, some, others, d):
+            m = float(q.min())
+            if m > found[0] or m == np.inf:
+                return found
+            r, c = np.nonzero(q == m)
+            a, b = np.minimum(some[r], others[r, c]), np.maximum(some[r], others[r, c])
+            k = int(np.argmin(a * n + b))
+            return min(found, (m, int(a[k]), int(b[k]), float(d[r[k], c[k]])))
+
+        def may_be_least(bounds, some):
+            """Whether rows may have a pair with less q, or one with the same that is first by place."""
+            best = found[0] / (n - 2)
+            return (bounds < np.inf) & (bounds <= best + slack) & ((bounds < best - slack) | (found[1] > 0) | (some < found[2]))
+
+        some = np.argpartition(bound, FIRST)[:FIRST] if n > FIRST else np.arange(n)
+        while len(some):
+            d, others = near_d[some], place[near[some]]
+            there = value[near[some]]
+            low[some] = (d - there).min(axis=1) + drift
+            q = np.where(np.isfinite(there), (n - 2) * d - total[others] - total[some, None], np.inf)
+            found = least(found, np.round(q, 12), some, others, d)
+            some_rest = rest[some] - u[some] - drift
+            bound[some] = np.inf
+            again = some[may_be_least(some_rest, some)]
+            if len(again):
+                d = source.rows(again, n)
+                d[ident[:n] >= ident[again, None]] = np.inf
+                q = (n - 2) * d - total[:n]
+                q -= total[again, None]
+                found = least(found, np.round(q, 12, out=q), again, np.broadcast_to(np.arange(n), d.shape), d)
+                keep(again, d, u)
+            some = np.flatnonzero(may_be_least(bound, np.arange(n)))
+            if len(some) > ROWS:
+                some = some[np.argsort(np.round(bound[some], 9), kind="stable")[:ROWS]]
+        _, i, j, gap = found
+        half = gap / 2 + (total[i] - total[j]) / (2 * (n - 2))
+        nodes[i].length, nodes[j].length = max(half, 0.0), max(gap - half, 0.0)
+        joined = source.join(i, j, n, gap)
+        total[:n] -= joined + gap
+        total[i] = joined.sum()
         nodes[i] = Node(children=[nodes[i], nodes[j]])
-        if j < n - 1:
-            d[j, :n], nodes[j], total[j] = d[n - 1, :n], nodes[n - 1], total[n - 1]
-            d[:n, j] = d[:n, n - 1]
-            d[j, j] = 0.0
+        # the new node takes place i, the last one place j
+        value[ident[[i, j]]] = -np.inf
+        ident[i], born = born, born + 1
+        for held in (joined, u, total, ident, near, near_d, low, rest):
+            held[j] = held[n - 1]
+        nodes[j] = nodes[n - 1]
         n -= 1
-    nodes, d = nodes[:n], d[:n, :n]
+        place[ident[:n]] = np.arange(n)
+        now = total[:n] / (n - 2)
+        rise = now - u[:n]
+        rise[i] = -np.inf
+        drift += float(rise.max())
+        joined[i] = np.inf
+        keep(np.array([i]), joined[None, :n], now)
+    nodes, d = nodes[:n], source.rows(np.arange(n), n)
     if n == 3:
         a, b, c = d[0, 1], d[0, 2], d[1, 2]
         for node, length in zip(nodes, ((a + b - c) / 2, (a + c - b) / 2, (b + c - a) / 2)):
-            node.length = max(length, 0.0)
+            node.length = max(float(length), 0.0)
     elif n == 2:
         for node in nodes:
             node.length = d[0, 1] / 2
     return Node(children=nodes) if n > 1 else nodes[0]
 
 
+def neighbour_joining(names: list[str], d: np.ndarray, copy: bool = True) -> Node:
+    """The neighbour-joining tree of a distance matrix; negative lengths become 0. An estimate, not a likelihood tree.
+
+    The matrix, or a copy of it, is joined in place.
+    """
+    return joined_tree(names, Matrix(np.array(d, float) if copy else d))
+
+
+def sequence_tree(names: list[str], seqs: list[str]) -> Node:
+    """The neighbour-joining tree of sequences' differences. Of many more tips than columns no matrix is made."""
+    planes = base_planes(seqs)
+    if len(names) > max(MATRIX, Profiles.width(planes)):
+        return joined_tree(names, Profiles(planes))
+    every, d = np.arange(len(names)), np.empty((len(names),) * 2)
+    step = max(1, PAIRS // (len(names) * max(1, planes.shape[2])))
+    for i in range(0, len(names), step):
+        d[i : i + step] = differences(planes, every[i : i + step], every)
+    return joined_tree(names, Matrix(d))
+
+
 def nj_trees(distances: DataFrame, members: DataFrame, missing: float | None = None) -> DataFrame:
     """(cluster_id, n_tips, method, newick) for each cluster, whole.
 
@@ -200,7 +358,8 @@ def sequence_trees(classes: DataFrame) -> DataFrame:
     """(cluster_id, n_tips, method, newick) as nj_trees gives of snp_distances, for each cluster, whole.
 
     classes: cluster_id, rep, seq. A cluster's distances are computed where its tree is built: what is shuffled are its
-    sequences, not its pairs. Memory is two matrices of 8 bytes a pair, and joining is cubic, as in nj_trees.
+    sequences, not its pairs. Of a cluster of many more sequences than columns no matrix is held, but at most 32 bytes for
+    each column of each sequence.
     """
     ship(classes.sparkSession)
 
@@ -209,14 +368,12 @@ def sequence_trees(classes: DataFrame) -> DataFrame:
         names = people["rep"].tolist()
         if len(names) < 3:
             return pd.DataFrame({"cluster_id": [key[0]], "n_tips": [len(names)], "method": ["star"], "newick": [star(names)]})
-        planes, every, d = base_planes(people["seq"].tolist()), np.arange(len(names)), np.empty((len(names),) * 2)
-        step = max(1, PAIRS // (len(names) * max(1, planes.shape[2])))
-        for i in range(0, len(names), step):
-            d[i : i + step] = differences(planes, every[i : i + step], every)
-        return pd.DataFrame({"cluster_id": [key[0]], "n_tips": [len(names)], "method": ["neighbour_joining"], "newick": [write_newick(neighbour_joining(names, d, copy=False))]})
+        return pd.DataFrame({"cluster_id": [key[0]], "n_tips": [len(names)], "method": ["neighbour_joining"], "newick": [write_newick(sequence_tree(names, people["seq"].tolist()))]})
 
     kind = classes.schema["cluster_id"].dataType.simpleString()
     rows = classes.select("cluster_id", "rep", F.upper(F.coalesce("seq", F.lit(""))).alias("seq"))
+    # a number, as few bytes are much work here: without one, clusters are put together in one task
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cluster_id")
     return rows.groupBy("cluster_id").applyInPandas(build, f"cluster_id {kind}, n_tips bigint, method string, newick string")
 
 

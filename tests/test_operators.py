@@ -606,3 +606,56 @@ def test_distance_pairs_read_blocks_that_are_written_once(spark, monkeypatch):
     pairs = queries.mash_distance_pairs(spark, d)
     assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
     assert rows(pairs, "a", "b", "shared", "distance") == whole
+
+
+def joined_plainly(d):
+    """Neighbour joining that looks at every pair in every step: which nodes are joined, by place, and the lengths."""
+    d, out = d.astype(float), []
+    while (n := len(d)) > 3:
+        total = d.sum(axis=1)
+        q = np.round((n - 2) * d - total - total[:, None], 9)
+        np.fill_diagonal(q, np.inf)
+        i, j = sorted(divmod(int(np.argmin(q)), n))
+        half = d[i, j] / 2 + (total[i] - total[j]) / (2 * (n - 2))
+        out.append((i, j, max(half, 0.0), max(d[i, j] - half, 0.0)))
+        d[i] = d[:, i] = (d[i] + d[j] - d[i, j]) / 2
+        d[i, i] = 0.0
+        order = [n - 1 if k == j else k for k in range(n - 1)]
+        d = d[np.ix_(order, order)]
+    return out
+
+
+def tree_of(names, steps, d):
+    nodes, n = [trees.Node(x) for x in names], len(names)
+    for i, j, a, b in steps:
+        nodes[i].length, nodes[j].length = a, b
+        nodes[i], nodes[j] = trees.Node(children=[nodes[i], nodes[j]]), nodes[n - 1]
+        n -= 1
+    return [(x.name, x.length) for node in nodes[:n] for x in node.walk() if x is not node]
+
+
+@pytest.mark.parametrize("letters, width, changed", [("ACGTN-", 90, 1.0), ("AC", 12, 1.0), ("ACGT", 70, 0.05), ("AN", 9, 1.0)])
+def test_joining_by_bounds_is_that_of_all_pairs(letters, width, changed):
+    rng = np.random.default_rng(3)
+    first = rng.choice(list(letters), width)
+    seqs = sorted({"".join(np.where(rng.random(width) < changed, rng.choice(list(letters), width), first)) for _ in range(150)})
+    names, every, planes = [f"s{i}" for i in range(len(seqs))], np.arange(len(seqs)), al.base_planes(seqs)
+    d = al.differences(planes, every, every)
+    expected = tree_of(names, joined_plainly(d), d)
+    for source in (trees.Matrix(d.astype(float)), trees.Profiles(planes)):
+        assert np.array_equal(source.sums(), d.sum(axis=1)) and np.array_equal(source.rows(every[3:9], 80), d[3:9, :80])
+        top = trees.joined_tree(names, source)
+        found = [(x.name, x.length) for node in top.children for x in node.walk() if x is not node]
+        assert [n for n, _ in found] == [n for n, _ in expected] and np.allclose([x for _, x in found], [x for _, x in expected])
+
+
+def test_a_large_cluster_is_joined_without_a_matrix():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    seqs = sorted({"".join(x) for x in rng.choice(list("ACGTN"), (2100, 64))})
+    tracemalloc.start()
+    root = trees.sequence_tree([f"s{i}" for i in range(len(seqs))], seqs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(root.tips()) == len(seqs) and peak < 8 * len(seqs) ** 2
