@@ -17,8 +17,9 @@ from ..plans.shared import ship
 from .alignments import PAIRS, base_planes, differences
 
 EDGES = "tree_id string, node_id bigint, parent_id bigint, child_ord int, name string, branch_length double, is_tip boolean"
-NEAR, ROWS, FIRST = 16, 64, 16  # nearest nodes kept for each; rows computed at a time; rows looked at first
+NEAR, ROWS, CELLS, FIRST = 16, 64, 1 << 20, 16  # nearest nodes kept for each; rows and cells computed at a time; rows looked at first
 MATRIX = 2048  # so many tips have a matrix (32 MB) also where profiles are smaller
+TASKS = 200  # clusters are dealt to so many tasks, or more
 _TOKEN = re.compile(r"\s*(?:('(?:[^']|'')*')|([(),:;])|(\[[^\]]*\])|([^\s(),:;\[]+))")
 
 
@@ -170,8 +171,11 @@ class Profiles:
         one, two, known = one[:, varies], two[:, varies], known[:, varies]
         partly = known.min(axis=0) == 0
         self.all_known = 0.75 * float((~partly).sum())
-        self.means = np.concatenate([one, two, one * two, known[:, partly]], axis=1, dtype=float)
-        self.weights = np.repeat([-0.25, 0.75], [3 * one.shape[1], int(partly.sum())])
+        w = one.shape[1]
+        self.weights = np.repeat([-0.25, 0.75], [3 * w, int(partly.sum())])
+        self.means = np.empty((len(one), len(self.weights)))
+        self.means[:, :w], self.means[:, w : 2 * w], self.means[:, 3 * w :] = one, two, known[:, partly]
+        np.multiply(one, two, out=self.means[:, 2 * w : 3 * w])
         self.offsets = np.zeros(len(self.means))
 
     @staticmethod
@@ -197,20 +201,22 @@ class Profiles:
         return joined
 
 
-def joined_tree(names: list[str], source: Matrix | Profiles) -> Node:
-    """The neighbour-joining tree of a source's distances, which is used up; negative lengths become 0.
+def joins(n: int, source: Matrix | Profiles) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbour joining of a source's distances between n tips, which is used up; negative lengths become 0.
+
+    What is joined, step by step, each length, and what is left at the top; tips are 0 to n - 1, the first joined pair is n.
 
     Of all pairs the one with least q = (n - 2) d - total - total is joined, of equal ones the first by place. Instead of
     computing all, each node keeps its NEAR nearest by d - total / (n - 2) among older nodes, and a bound of the others. A
     distance never changes while both nodes are there, and bounds fall by at most the largest rise of a total / (n - 2):
     rows are computed again only where their bound does not rule out the least pair. So the result is that of all pairs.
     """
-    nodes, n = [Node(x) for x in names], len(names)
+    pairs, lengths, tips = np.empty((max(n - 3, 0), 2), np.int32), np.zeros(2 * n), n
     total = source.sums()
-    ident, born = np.arange(n), n  # a pair is kept by the node with the larger identity, the younger one
+    ident = np.arange(n)  # a pair is kept by the node with the larger identity, the younger one
     place, value = np.zeros(2 * n, int), np.full(2 * n, -np.inf)  # by identity; value: total / (n - 2), no more there: -inf
     place[:n] = ident
-    near, near_d = np.zeros((n, NEAR), int), np.full((n, NEAR), np.inf)
+    near, near_d = np.zeros((n, NEAR), np.int32), np.full((n, NEAR), np.inf)
     low, rest, drift = np.full(n, np.inf), np.full(n, np.inf), 0.0  # bounds of the near and of the others, drift not yet taken off
 
     def keep(some, d, u):
@@ -225,10 +231,11 @@ def joined_tree(names: list[str], source: Matrix | Profiles) -> Node:
         near_d[some, at.shape[1] :] = np.inf
         low[some] = np.take_along_axis(v, at, 1).min(axis=1) + drift
 
+    step = max(1, min(ROWS, CELLS // max(n, 1)))
     if n > 3:
         u = total / (n - 2)
-        for i in range(0, n, ROWS):
-            some = np.arange(i, min(n, i + ROWS))
+        for i in range(0, n, step):
+            some = np.arange(i, min(n, i + step))
             d = source.rows(some, some[-1] + 1)
             d[ident[: d.shape[1]] >= some[:, None]] = np.inf
             keep(some, d, u[: d.shape[1]])
@@ -263,29 +270,28 @@ def joined_tree(names: list[str], source: Matrix | Profiles) -> Node:
             some_rest = rest[some] - u[some] - drift
             bound[some] = np.inf
             again = some[may_be_least(some_rest, some)]
-            if len(again):
-                d = source.rows(again, n)
-                d[ident[:n] >= ident[again, None]] = np.inf
+            for part in (again[k : k + step] for k in range(0, len(again), step)):
+                d = source.rows(part, n)
+                d[ident[:n] >= ident[part, None]] = np.inf
                 q = (n - 2) * d - total[:n]
-                q -= total[again, None]
-                found = least(found, np.round(q, 12, out=q), again, np.broadcast_to(np.arange(n), d.shape), d)
-                keep(again, d, u)
+                q -= total[part, None]
+                found = least(found, np.round(q, 12, out=q), part, np.broadcast_to(np.arange(n), d.shape), d)
+                keep(part, d, u)
             some = np.flatnonzero(may_be_least(bound, np.arange(n)))
-            if len(some) > ROWS:
-                some = some[np.argsort(np.round(bound[some], 9), kind="stable")[:ROWS]]
+            if len(some) > step:
+                some = some[np.argsort(np.round(bound[some], 9), kind="stable")[:step]]
         _, i, j, gap = found
         half = gap / 2 + (total[i] - total[j]) / (2 * (n - 2))
-        nodes[i].length, nodes[j].length = max(half, 0.0), max(gap - half, 0.0)
+        pairs[tips - n] = ident[[i, j]]
+        lengths[ident[[i, j]]] = max(half, 0.0), max(gap - half, 0.0)
         joined = source.join(i, j, n, gap)
         total[:n] -= joined + gap
         total[i] = joined.sum()
-        nodes[i] = Node(children=[nodes[i], nodes[j]])
         # the new node takes place i, the last one place j
         value[ident[[i, j]]] = -np.inf
-        ident[i], born = born, born + 1
+        ident[i] = tips + tips - n
         for held in (joined, u, total, ident, near, near_d, low, rest):
             held[j] = held[n - 1]
-        nodes[j] = nodes[n - 1]
         n -= 1
         place[ident[:n]] = np.arange(n)
         now = total[:n] / (n - 2)
@@ -294,15 +300,25 @@ def joined_tree(names: list[str], source: Matrix | Profiles) -> Node:
         drift += float(rise.max())
         joined[i] = np.inf
         keep(np.array([i]), joined[None, :n], now)
-    nodes, d = nodes[:n], source.rows(np.arange(n), n)
+    d, top = source.rows(np.arange(n), n), ident[:n]
     if n == 3:
         a, b, c = d[0, 1], d[0, 2], d[1, 2]
-        for node, length in zip(nodes, ((a + b - c) / 2, (a + c - b) / 2, (b + c - a) / 2)):
-            node.length = max(float(length), 0.0)
+        lengths[top] = np.maximum([(a + b - c) / 2, (a + c - b) / 2, (b + c - a) / 2], 0.0)
     elif n == 2:
-        for node in nodes:
-            node.length = d[0, 1] / 2
-    return Node(children=nodes) if n > 1 else nodes[0]
+        lengths[top] = d[0, 1] / 2
+    return pairs, lengths, top
+
+
+def joined_tree(names: list[str], pairs: np.ndarray, lengths: np.ndarray, top: np.ndarray) -> Node:
+    """The tree of joins."""
+    lengths = lengths.tolist()
+    nodes = [Node(x, length) for x, length in zip(names, lengths)]
+    for i, j in pairs.tolist():
+        nodes.append(Node(None, lengths[len(nodes)], [nodes[i], nodes[j]]))
+    if len(top) > 1:
+        return Node(children=[nodes[i] for i in top.tolist()])
+    nodes[0].length = None
+    return nodes[0]
 
 
 def neighbour_joining(names: list[str], d: np.ndarray, copy: bool = True) -> Node:
@@ -310,19 +326,19 @@ def neighbour_joining(names: list[str], d: np.ndarray, copy: bool = True) -> Nod
 
     The matrix, or a copy of it, is joined in place.
     """
-    return joined_tree(names, Matrix(np.array(d, float) if copy else d))
+    return joined_tree(names, *joins(len(names), Matrix(np.array(d, float) if copy else d)))
 
 
 def sequence_tree(names: list[str], seqs: list[str]) -> Node:
     """The neighbour-joining tree of sequences' differences. Of many more tips than columns no matrix is made."""
     planes = base_planes(seqs)
     if len(names) > max(MATRIX, Profiles.width(planes)):
-        return joined_tree(names, Profiles(planes))
+        return joined_tree(names, *joins(len(names), Profiles(planes)))
     every, d = np.arange(len(names)), np.empty((len(names),) * 2)
     step = max(1, PAIRS // (len(names) * max(1, planes.shape[2])))
     for i in range(0, len(names), step):
         d[i : i + step] = differences(planes, every[i : i + step], every)
-    return joined_tree(names, Matrix(d))
+    return joined_tree(names, *joins(len(names), Matrix(d)))
 
 
 def nj_trees(distances: DataFrame, members: DataFrame, missing: float | None = None) -> DataFrame:
@@ -373,7 +389,7 @@ def sequence_trees(classes: DataFrame) -> DataFrame:
     kind = classes.schema["cluster_id"].dataType.simpleString()
     rows = classes.select("cluster_id", "rep", F.upper(F.coalesce("seq", F.lit(""))).alias("seq"))
     # a number, as few bytes are much work here: without one, clusters are put together in one task
-    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cluster_id")
+    rows = rows.repartition(max(TASKS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "cluster_id")
     return rows.groupBy("cluster_id").applyInPandas(build, f"cluster_id {kind}, n_tips bigint, method string, newick string")
 
 

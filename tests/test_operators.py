@@ -644,7 +644,7 @@ def test_joining_by_bounds_is_that_of_all_pairs(letters, width, changed):
     expected = tree_of(names, joined_plainly(d), d)
     for source in (trees.Matrix(d.astype(float)), trees.Profiles(planes)):
         assert np.array_equal(source.sums(), d.sum(axis=1)) and np.array_equal(source.rows(every[3:9], 80), d[3:9, :80])
-        top = trees.joined_tree(names, source)
+        top = trees.joined_tree(names, *trees.joins(len(names), source))
         found = [(x.name, x.length) for node in top.children for x in node.walk() if x is not node]
         assert [n for n, _ in found] == [n for n, _ in expected] and np.allclose([x for _, x in found], [x for _, x in expected])
 
