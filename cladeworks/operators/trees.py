@@ -346,7 +346,7 @@ def nj_trees(distances: DataFrame, members: DataFrame, missing: float | None = N
 
     A pair that is not listed is `missing` apart, or else as far as the cluster's farthest. distances: cluster_id, a, b,
     distance; members: cluster_id, name. Fewer than three members give a star, and the method says so. A cluster's matrix is
-    in one task (8 bytes a pair) and joining is cubic, so clusters are split before (clusters.split_oversize) where they may
+    in one task (8 bytes a pair), so clusters are split before (clusters.split_oversize) where they may
     have tens of thousands of different sequences.
     """
     ship(members.sparkSession)
